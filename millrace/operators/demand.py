@@ -123,7 +123,12 @@ def monthly_index(orders: DataFrame, items: DataFrame, products: DataFrame, year
         for other in spans[1:]:
             span = span | other
         orders = orders.filter(span)
-    monthly = category_periods(delivered_lines(orders, items), products, F.month("purchase_ts"), "month_num")
+    return month_means(
+        category_periods(delivered_lines(orders, items), products, F.month("purchase_ts"), "month_num")
+    )
+
+
+def month_means(monthly: DataFrame) -> DataFrame:
     whole = W.partitionBy("category")  # at most twelve rows
     return monthly.select(
         "month_num",
@@ -155,9 +160,11 @@ def seasonality_index(
     )
 
 
-def seasonality_lookup(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
-    """(month_num, category, seasonality_index) over all years, for the features."""
-    return monthly_index(orders, items, products).select(
+def seasonality_lookup(daily: DataFrame) -> DataFrame:
+    """(month_num, category, seasonality_index) over all years of a daily
+    demand table, for the features."""
+    monthly = daily.groupBy("category", F.month("sale_date").alias("month_num")).agg(F.sum("units_sold").alias("units"))
+    return month_means(monthly).select(
         "month_num",
         "category",
         half_up(percent(F.col("monthly_orders"), F.col("mean_orders")), 1).alias("seasonality_index"),
