@@ -220,33 +220,37 @@ def scaler_fit(df: DataFrame, columns: Sequence[str] = SCALED_FEATURES, target:
     return df.agg(*ends)
 
 
-def _fitted(scaler: DataFrame) -> Column:
-    return scaler.select(F.struct(*scaler.columns)).scalar()
-
-
-def _unit(value: Column, fitted: Column, name: str) -> Column:
-    low, high = fitted[f"{name}_min"], fitted[f"{name}_max"]
-    return F.when(high == low, F.lit(0.0)).otherwise((value - low) / F.nullif(high - low, F.lit(0.0)))
+def _with_fit(df: DataFrame, scaler: DataFrame) -> DataFrame:
+    """The fitted ends as one struct column, read once by a scalar subquery."""
+    return df.withColumn("_fit", scaler.select(F.struct(*scaler.columns)).scalar())
 
 
 def scaler_apply(df: DataFrame, scaler: DataFrame, target: str = "units_sold") -> DataFrame:
     """Columns moved to [0, 1] of the fitted data; a constant column becomes 0."""
-    fitted = _fitted(scaler)
     names = [c[: -len("_min")] for c in scaler.columns if c.endswith("_min")]
-    scaled = {n: _unit(F.log1p(F.col(n)) if n == target else F.col(n), fitted, n) for n in names if n in df.columns}
-    return df.withColumns(scaled)
-
-
-def to_raw_scale(value: Column, scaler: DataFrame, clip: bool = False, target: str = "units_sold") -> Column:
-    """A scaled target back in units: min-max inverse, then expm1."""
-    fitted = _fitted(scaler)
-    low, high = fitted[f"{target}_min"], fitted[f"{target}_max"]
-    if clip:
-        value = F.greatest(value, F.lit(0.0))
-    logged = value * F.when(high == low, F.lit(1.0)).otherwise(high - low) + low
-    if clip:
-        logged = F.greatest(logged, F.lit(0.0))
-    return F.expm1(logged)
+
+    def unit(name: str) -> Column:
+        value = F.log1p(F.col(name)) if name == target else F.col(name)
+        low, high = F.col("_fit")[f"{name}_min"], F.col("_fit")[f"{name}_max"]
+        return F.coalesce(F.try_divide(value - low, high - low), F.when(value.isNotNull(), 0.0))
+
+    scaled = {n: unit(n) for n in names if n in df.columns}
+    return _with_fit(df, scaler).withColumns(scaled).drop("_fit")
+
+
+def to_raw_scale(
+    df: DataFrame, scaler: DataFrame, columns: Sequence[str], clip: bool = False, target: str = "units_sold"
+) -> DataFrame:
+    """Scaled target columns back in units: min-max inverse, then expm1."""
+    low, high = F.col("_fit")[f"{target}_min"], F.col("_fit")[f"{target}_max"]
+    span = F.when(high == low, F.lit(1.0)).otherwise(high - low)
+
+    def raw(name: str) -> Column:
+        value = F.greatest(F.col(name), F.lit(0.0)) if clip else F.col(name)
+        logged = value * span + low
+        return F.expm1(F.greatest(logged, F.lit(0.0)) if clip else logged)
+
+    return _with_fit(df, scaler).withColumns({c: raw(c) for c in columns}).drop("_fit")
 
 
 # -- model inputs ---------------------------------------------------------------

@@ -126,7 +126,8 @@ def model_selection(board: DataFrame, leaderboard: DataFrame, min_rel: float = 5
     )
 
     def number(name: str, digits: int) -> Column:
-        return F.format_string(f"%.{digits}f", half_up(F.col(name), digits))
+        # format_string would write a NULL as text
+        return F.when(F.col(name).isNotNull(), F.format_string(f"%.{digits}f", half_up(F.col(name), digits)))
 
     margin = F.concat(number("margin_pp", 2), F.lit(" points, "), number("margin_pct", 1), F.lit("% relative"))
     bars = F.concat(number("noise_threshold_pp", 2), F.lit(f" points and {min_rel:.0f}% relative"))
