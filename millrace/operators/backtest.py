@@ -7,7 +7,7 @@ series at most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.functions.numeric import count_when
 
@@ -68,75 +68,96 @@ def train_rows(series: DataFrame, folds: DataFrame) -> DataFrame:
     return folded(series, folds).filter(F.col("idx") < F.col("train_end"))
 
 
-def _predictions(rows: DataFrame, model: str, predicted, lower=None, upper=None) -> DataFrame:
+def _in_fold():
+    return W.partitionBy("category", "fold")
+
+
+def fold_fits(series: DataFrame, folds: DataFrame, window: int = 30, period: int = 7) -> DataFrame:
+    """Series rows with what each baseline takes from the training part of
+    their fold. One window over (category, fold) serves all baselines; Catalyst
+    drops what a single baseline does not use."""
+    past = F.col("idx") < F.col("train_end")
+    y = F.when(past, F.col("y"))
+    whole = _in_fold()
+    season = F.array(
+        *[F.max(F.when(F.col("idx") == F.col("train_end") - period + k, F.col("y"))).over(whole) for k in range(period)]
+    )
+    return folded(series, folds).withColumns(
+        {
+            "_y": y,
+            "_last": F.max_by("y", F.when(past, F.col("idx"))).over(whole),
+            "_mean": F.avg(F.when(F.col("idx") >= F.col("train_end") - window, y)).over(whole),
+            "_season": F.get(season, ((F.col("idx") - F.col("test_start")) % period).cast("int")),
+            "_slope": F.regr_slope(y, F.col("idx")).over(whole),
+            "_base": F.regr_intercept(y, F.col("idx")).over(whole),
+        }
+    )
+
+
+def with_trend(fits: DataFrame) -> DataFrame:
+    """Line plus mean weekday deviation, and the spread around it."""
+    fits = fits.withColumn("_line", F.col("_base") + F.col("_slope") * F.col("idx"))
+    weekday = W.partitionBy("category", "fold", F.weekday("sale_date"))
+    fits = fits.withColumn(
+        "_fit", F.col("_line") + F.coalesce(F.avg(F.col("_y") - F.col("_line")).over(weekday), F.lit(0.0))
+    )
+    return fits.withColumn("_spread", F.stddev_pop(F.col("_y") - F.col("_fit")).over(_in_fold()))
+
+
+def _not_negative(col: Column) -> Column:
+    return F.greatest(col, F.lit(0.0))
+
+
+def _entry(model: str, z: float = 1.645) -> Column:
+    """One baseline's prediction and bounds, from the fit columns."""
     none = F.lit(None).cast("double")
-    return rows.filter(F.col("idx") >= F.col("test_start")).select(
-        F.lit(model).alias("model"),
-        "category",
-        "fold",
-        "idx",
-        "sale_date",
-        F.col("y").alias("actual"),
-        predicted.alias("predicted"),
-        (none if lower is None else lower).alias("lower"),
-        (none if upper is None else upper).alias("upper"),
+    predicted, lower, upper = {
+        "Last_Value": lambda: (F.col("_last"), none, none),
+        "Average_Demand": lambda: (F.col("_mean"), none, none),
+        "Seasonal_Naive": lambda: (_not_negative(F.col("_season")), none, none),
+        "Trend_Season": lambda: (
+            _not_negative(F.col("_fit")),
+            _not_negative(F.col("_fit") - z * F.col("_spread")),
+            _not_negative(F.col("_fit") + z * F.col("_spread")),
+        ),
+    }[model]()
+    return F.struct(
+        F.lit(model).alias("model"), predicted.alias("predicted"), lower.alias("lower"), upper.alias("upper")
     )
 
 
-def _in_fold():
-    return W.partitionBy("category", "fold")
+def _predictions(fits: DataFrame, *entries: Column) -> DataFrame:
+    tests = fits.filter(F.col("idx") >= F.col("test_start"))
+    return tests.select(
+        "category", "fold", "idx", "sale_date", F.col("y").alias("actual"), F.inline(F.array(*entries))
+    ).select(*PREDICTION)
 
 
 def baseline_last_value(series: DataFrame, folds: DataFrame) -> DataFrame:
     """The last training value for every test day."""
-    seen = F.when(F.col("idx") < F.col("train_end"), F.col("idx"))
-    rows = folded(series, folds).withColumn("_last", F.max_by("y", seen).over(_in_fold()))
-    return _predictions(rows, "Last_Value", F.col("_last"))
+    return _predictions(fold_fits(series, folds), _entry("Last_Value"))
 
 
 def baseline_average(series: DataFrame, folds: DataFrame, window: int = 30) -> DataFrame:
     """The mean of the last ``window`` training values for every test day."""
-    recent = (F.col("idx") < F.col("train_end")) & (F.col("idx") >= F.col("train_end") - window)
-    rows = folded(series, folds).withColumn("_mean", F.avg(F.when(recent, F.col("y"))).over(_in_fold()))
-    return _predictions(rows, "Average_Demand", F.col("_mean"))
+    return _predictions(fold_fits(series, folds, window=window), _entry("Average_Demand"))
 
 
 def baseline_seasonal_naive(series: DataFrame, folds: DataFrame, period: int = 7) -> DataFrame:
     """The last training season repeated over the test window."""
-    tests = folded(series, folds).filter(F.col("idx") >= F.col("test_start"))
-    step = (F.col("idx") - F.col("test_start")) % period
-    source = series.select("category", F.col("idx").alias("_from"), F.col("y").alias("_past"))
-    rows = tests.withColumn("_from", F.col("train_end") - period + step).join(source, ["category", "_from"])
-    return _predictions(rows, "Seasonal_Naive", F.greatest(F.col("_past"), F.lit(0.0)))
+    return _predictions(fold_fits(series, folds, period=period), _entry("Seasonal_Naive"))
 
 
 def baseline_trend_season(series: DataFrame, folds: DataFrame, z: float = 1.645) -> DataFrame:
     """A linear trend plus the mean deviation of each weekday, with a band of
     ``z`` residual deviations. Stands in for a library-fitted seasonal model."""
-    rows = folded(series, folds).withColumn("_y", F.when(F.col("idx") < F.col("train_end"), F.col("y")))
-    rows = rows.withColumns(
-        {"_slope": F.regr_slope("_y", "idx").over(_in_fold()), "_base": F.regr_intercept("_y", "idx").over(_in_fold())}
-    ).withColumn("_trend", F.col("_base") + F.col("_slope") * F.col("idx"))
-    weekday = W.partitionBy("category", "fold", F.weekday("sale_date"))
-    rows = rows.withColumn("_season", F.coalesce(F.avg(F.col("_y") - F.col("_trend")).over(weekday), F.lit(0.0)))
-    fit = F.col("_trend") + F.col("_season")
-    rows = rows.withColumn("_spread", F.stddev_pop(F.col("_y") - fit).over(_in_fold()))
-
-    def floor(col):
-        return F.greatest(col, F.lit(0.0))
-
-    return _predictions(
-        rows, "Trend_Season", floor(fit), floor(fit - z * F.col("_spread")), floor(fit + z * F.col("_spread"))
-    )
+    return _predictions(with_trend(fold_fits(series, folds)), _entry("Trend_Season", z))
 
 
 def all_baselines(series: DataFrame, folds: DataFrame) -> DataFrame:
-    return (
-        baseline_last_value(series, folds)
-        .unionByName(baseline_average(series, folds))
-        .unionByName(baseline_seasonal_naive(series, folds))
-        .unionByName(baseline_trend_season(series, folds))
-    )
+    """The four baselines from one pass over the folds."""
+    models = ("Last_Value", "Average_Demand", "Seasonal_Naive", "Trend_Season")
+    return _predictions(with_trend(fold_fits(series, folds)), *[_entry(m) for m in models])
 
 
 def sliding_forecasts(series: DataFrame, folds: DataFrame, horizon: int = 7, period: int = 7) -> DataFrame:

@@ -24,10 +24,10 @@ def monthly_demand_trend(
     """Items sold, revenue and mean item price per month and category."""
     in_window = orders.filter(purchase_window(F.col("purchase_ts"), start, end, end_inclusive))
     monthly = category_periods(
-        delivered_lines(in_window, items), products, month_label(F.col("purchase_ts")), "order_month"
+        delivered_lines(in_window, items), products, F.trunc("purchase_ts", "month"), "order_month"
     )
     return monthly.select(
-        "order_month",
+        month_label(F.col("order_month")).alias("order_month"),
         "category",
         F.col("units").alias("total_orders"),
         F.col("revenue").alias("total_revenue"),

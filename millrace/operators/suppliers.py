@@ -173,7 +173,7 @@ def review_early_warning(
     monthly = (
         order_lines(orders, items)
         .join(reviews_per_order(usable), "order_id", "left")
-        .groupBy("seller_id", month_label(F.col("purchase_ts")).alias("review_month"))
+        .groupBy("seller_id", F.trunc("purchase_ts", "month").alias("month"))
         .agg(
             F.sum("reviews").alias("total_reviews"),
             F.sum("stars").alias("stars"),
@@ -186,6 +186,7 @@ def review_early_warning(
     )
     measured = monthly.withColumns(
         {
+            "review_month": month_label(F.col("month")),
             "mood": exact(ratio(F.col("sentiment"), F.col("total_reviews"))),
             "bad_review_pct": half_up(percent(F.col("bad_reviews"), F.col("total_reviews")), 1),
             "on_time_pct": half_up(percent(F.col("on_time"), F.col("delivered")), 1),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
@@ -24,7 +25,7 @@ from millrace.operators import (
 )
 from millrace.plans import monthly_report
 from millrace.plans.demand_series import DemandSeries, demand_series, indexed_series
-from millrace.plans.roles import Shop, holidays, shop
+from millrace.plans.roles import Shop, holidays
 from millrace.session import materialize, tune
 from millrace.sources.load import catalogue, keep_first
 
@@ -49,7 +50,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def _on_shop(build: Callable[[Shop], DataFrame]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return comparable(build(shop(tune(spark), folder)))
+        return comparable(build(Shop(tune(spark), folder)))
 
     return run
 
@@ -120,7 +121,7 @@ def texts(s: Shop) -> DataFrame:
 
 
 def _scores(s: Shop) -> DataFrame:
-    return sentiment.sentiment_score(texts(s), lexicon(s.documents.sparkSession), NEGATIONS)
+    return sentiment.sentiment_score(texts(s), lexicon(s.spark), NEGATIONS)
 
 
 def _dq(s: Shop) -> DataFrame:
@@ -157,7 +158,7 @@ LOAD: dict[str, Callable[[Shop], DataFrame]] = {
     "sentiment_score": _scores,
     "sentiment_distribution": lambda s: sentiment.sentiment_distribution(_scores(s)),
     "sentiment_backfill": lambda s: sentiment.sentiment_backfill(
-        texts(s), lexicon(s.documents.sparkSession), None, NEGATIONS
+        texts(s), lexicon(s.spark), None, NEGATIONS
     ).select("review_id", "sentiment_score"),
 }
 
@@ -166,7 +167,7 @@ LOAD: dict[str, Callable[[Shop], DataFrame]] = {
 
 def series_of(s: Shop) -> DemandSeries:
     return demand_series(
-        s.orders, s.items, s.products, holidays(s.orders.sparkSession), FIRST_DAY, LAST_DAY
+        s.orders, s.items, s.products, holidays(s.spark), FIRST_DAY, LAST_DAY
     )
 
 
@@ -227,7 +228,7 @@ class Backtest:
         products = s.products.select("product_id", F.col(column).alias("category"))
         daily = materialize(lines.daily_demand(s.orders, s.items, products))
         self.dense = features.dense_demand(daily)
-        self.series = indexed_series(self.dense)
+        self.series = materialize(indexed_series(self.dense))
         self.folds = backtest.walk_forward_folds(self.series)
         self.stats = features.category_stats(self.dense)
 
@@ -237,11 +238,13 @@ class Backtest:
     def scale(self) -> DataFrame:
         return evaluation.naive_scale(backtest.train_rows(self.series, self.folds), ["category", "fold"])
 
+    @cached_property
     def fold_metrics(self) -> DataFrame:
-        return evaluation.forecast_metrics(self.pred(), ["model", "category", "fold"], self.scale())
+        """A few rows per category that several results start from."""
+        return materialize(evaluation.forecast_metrics(self.pred(), ["model", "category", "fold"], self.scale()))
 
     def metrics(self) -> DataFrame:
-        return evaluation.fold_average(self.fold_metrics(), ["model", "category"])
+        return evaluation.fold_average(self.fold_metrics, ["model", "category"])
 
     def sliding(self) -> DataFrame:
         return backtest.sliding_baselines(self.series, self.folds)
@@ -257,7 +260,7 @@ class Backtest:
         return trend.join(base, "category").select("category", "mape", "bias", "mase", "baseline_mape")
 
     def threshold(self) -> DataFrame:
-        return evaluation.noise_threshold(self.fold_metrics().filter(F.col("model") == "Trend_Season"))
+        return evaluation.noise_threshold(self.fold_metrics.filter(F.col("model") == "Trend_Season"))
 
     def labelled(self) -> DataFrame:
         return evaluation.classify_lift(self.against_baseline(), self.threshold())
@@ -280,9 +283,7 @@ class Backtest:
             F.when(family != "baseline", F.lit(100.0) - F.col("mape")).alias("forecast_skill_pct"),
             bar.alias("noise_threshold_pp"),
         ).filter(F.col("model").isNotNull())
-        return materialize(
-            rows.filter(~((ends == "7") & (F.col("model") != "lstm")) & ~((ends == "8") & (F.col("model") == "gbm")))
-        )
+        return rows.filter(~((ends == "7") & (F.col("model") != "lstm")) & ~((ends == "8") & (F.col("model") == "gbm")))
 
     def forecasts(self) -> DataFrame:
         """A week ahead: the last week again, with a band from the last 30 days."""
@@ -343,7 +344,7 @@ EVALUATION: dict[str, Callable[[Backtest], DataFrame]] = {
     "baseline_seasonal_naive": lambda b: backtest.baseline_seasonal_naive(b.series, b.folds),
     "baseline_trend_season": lambda b: backtest.baseline_trend_season(b.series, b.folds),
     "sliding_baselines": Backtest.sliding,
-    "forecast_metrics": Backtest.fold_metrics,
+    "forecast_metrics": lambda b: b.fold_metrics,
     "interval_coverage": lambda b: evaluation.interval_coverage(
         backtest.baseline_trend_season(b.series, b.folds), ["category"]
     ),
