@@ -16,6 +16,7 @@ from millrace.operators import (
     fulfilment,
     intervals,
     lines,
+    models,
     planning,
     quality,
     routing,
@@ -25,6 +26,7 @@ from millrace.operators import (
 )
 from millrace.plans import monthly_report
 from millrace.plans.demand_series import DemandSeries, demand_series, indexed_series
+from millrace.plans.forecast_run import forecast_run
 from millrace.plans.roles import Shop, holidays
 from millrace.session import materialize, tune
 from millrace.sources.load import catalogue, keep_first
@@ -391,9 +393,61 @@ ROUTING: dict[str, Callable[[Backtest], DataFrame]] = {
 }
 
 
+# -- models: few and shallow trees, the point is the plan --------------------------
+
+SMALL = models.TreeParams(max_iter=4, max_depth=3)
+
+
+def _trained(d: DemandSeries) -> tuple[models.HorizonModels, DataFrame, DataFrame]:
+    rows = materialize(d.features)
+    scaler = materialize(features.scaler_fit(rows))
+    matrix = materialize(backtest.chronological_split(models.model_rows(rows, scaler)))
+    return models.train_horizon_models(matrix, SMALL), matrix, scaler
+
+
+def _score(d: DemandSeries) -> DataFrame:
+    fitted, _, scaler = _trained(d)
+    return models.score_forecasts(fitted, models.scoring_rows(d.features, scaler), scaler)
+
+
+def _permuted(d: DemandSeries) -> DataFrame:
+    fitted, matrix, scaler = _trained(d)
+    return models.permutation_importance(fitted, matrix.filter(F.col("split") == "es"), scaler, repeats=2)
+
+
+def _cv(d: DemandSeries) -> DataFrame:
+    forecasts = models.walk_forward_cv(materialize(d.features), SMALL, horizon=2)
+    return evaluation.forecast_metrics(forecasts, ["category", "fold", "horizon"])
+
+
+def _lookbacks(d: DemandSeries) -> DataFrame:
+    by_window = {
+        days: materialize(features.demand_features(d.dense, d.seasonality, d.calendar, window=days)) for days in (30, 60, 90)
+    }
+    return models.compare_lookbacks(by_window, SMALL, horizon=1)
+
+
+def _tuned(d: DemandSeries) -> DataFrame:
+    rows = materialize(d.features)
+    matrix = models.model_rows(rows, materialize(features.scaler_fit(rows)))
+    grid = [SMALL, models.TreeParams(max_iter=4, max_depth=4), models.TreeParams(max_iter=4, max_depth=3, step_size=0.3)]
+    return models.tune_params(matrix, grid, horizon=1)
+
+
+MODELS: dict[str, Callable[[DemandSeries], DataFrame]] = {
+    "score_forecasts": _score,
+    "served_forecasts": lambda d: forecast_run(d.features, SMALL).served,
+    "walk_forward_cv": _cv,
+    "model_importance": lambda d: models.model_importance(_trained(d)[0]),
+    "permutation_importance": _permuted,
+    "compare_lookbacks": _lookbacks,
+    "tune_params": _tuned,
+}
+
+
 def registered() -> dict[str, Query]:
     queries = {name: _on_shop(build) for name, build in {**ANALYTICS, **LOAD}.items()}
-    for name, build in SERIES.items():
+    for name, build in {**SERIES, **MODELS}.items():
         queries[name] = _on_shop(lambda s, build=build: rounded(build(series_of(s))))
     for name, build in EVALUATION.items():
         queries[name] = _on_shop(lambda s, build=build: rounded(build(Backtest(s))))
