@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Runtime SQL settings. forceOptimizeSkewedJoin lets AQE split a hot join key
 # even when the split costs one more shuffle for the aggregate above the join.
@@ -25,6 +25,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # small data on one machine: keep all cores busy after a shuffle
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         # call-site capture for every column expression slows plan building
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
@@ -51,3 +53,10 @@ def materialize(df: DataFrame) -> DataFrame:
         named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` marked for broadcast when it has at most ``max_rows`` rows; a
+    larger one is left to the ordinary shuffle join with adaptive skew
+    handling. Reads at most ``max_rows + 1`` rows to find out."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
