@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 def spark():
     from millrace.session import local_session
 
-    session = local_session(4, shuffle_partitions=4, memory="4g")
+    session = local_session(8, shuffle_partitions=4, memory="4g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
