@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe_fst, chat_format, exact_dedup, url_automaton
+from millrace.llm import bpe_fst, chat_format, exact_dedup, simhash_anchor, url_automaton
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_simhash_anchor(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash_anchor.groups(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup.groups(table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -61,6 +66,7 @@ def op10_bpe_fst(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     return {
+        "op4_simhash_anchor": op4_simhash_anchor,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_chat_format": op6_chat_format,
         "op9_url_automaton": op9_url_automaton,
