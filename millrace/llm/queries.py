@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe_fst, chat_format, exact_dedup, simhash_anchor, url_automaton
+from millrace.llm import bpe_fst, chat_format, exact_dedup, multiset_hash, simhash_anchor, source_mix, toxicity_fm, url_automaton
+from millrace.llm.texts import whole_text, word_count
+from millrace.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +26,32 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_toxicity_fm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    held_out = toxicity_fm.remainder() == 0
+    machine = toxicity_fm.fit(docs, labels.where(~held_out))
+    scored = toxicity_fm.score_texts(docs, machine, ["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_multiset_hash(spark: SparkSession, folder: str) -> DataFrame:
+    return multiset_hash.compare_edits(table(spark, folder, "documents"))
+
+
+def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = materialize(table(spark, folder, "documents").select(
+        "doc_id", "source", word_count(whole_text()).alias("size"), F.monotonically_increasing_id().alias("_row")
+    ))
+    plan, mixed = source_mix.mix(docs, size=F.col("size"))
+    taken = mixed.groupBy("_row").agg(F.sum("size").alias("taken"), F.array_sort(F.collect_list("_shard")).alias("shards"))
+    targets = plan.select("number", F.col("source").alias("_source"), "source_size", "target")
+    return (
+        docs.join(taken, "_row", "left").join(source_mix.hint(targets, targets.count()), F.col("source").eqNullSafe(F.col("_source")))
+        .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "shards")
+    )
+
+
 def op4_simhash_anchor(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_anchor.groups(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -66,6 +94,9 @@ def op10_bpe_fst(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     return {
+        "op1_toxicity_fm": op1_toxicity_fm,
+        "op2_multiset_hash": op2_multiset_hash,
+        "op3_source_mix": op3_source_mix,
         "op4_simhash_anchor": op4_simhash_anchor,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_chat_format": op6_chat_format,
