@@ -1,6 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text is the set of its hashed lower-case words. Its logit is a bias, one
+A text is a set of hashed terms: its lower-case words and their first four to
+six letters, which stand for the forms of a word. Its logit is a bias, one
 weight per term, and the dot product of the factors of each pair of terms, so
 a pair (an insult and a group) can weigh more or less than its two words.
 
@@ -31,15 +32,18 @@ from millrace.llm.texts import map_texts, whole_text
 from millrace.session import materialize
 
 BUCKETS = 1 << 20
+PREFIXES = (4, 5, 6)
 WORDS = re.compile(r"[^\W_]+")
 
 
-def terms(text: str) -> set[str]:
+def words(text: str) -> set[str]:
     return set(WORDS.findall(text.lower()))
 
 
-def bucket(term: str) -> int:
-    return zlib.crc32(term.encode()) % BUCKETS
+def buckets(word: str) -> list[int]:
+    """Of the word and, where it is longer, of its beginnings."""
+    terms = [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) > n)]
+    return [zlib.crc32(t.encode()) % BUCKETS for t in terms]
 
 
 @dataclass(frozen=True)
@@ -63,8 +67,8 @@ class Machine:
         return self.bias + linear + 0.5 * ((summed**2).sum(1) - squares)
 
 
-def train(rows: list[list[int]], labels: np.ndarray, place: dict[int, int], factors: int = 8, epochs: int = 30,
-          batch: int = 512, rate: float = 0.1, decay: float = 1e-4, seed: int = 1) -> Machine:
+def train(rows: list[list[int]], labels: np.ndarray, place: dict[int, int], factors: int = 8, epochs: int = 20,
+          batch: int = 512, rate: float = 0.3, decay: float = 1e-4, seed: int = 1) -> Machine:
     """A machine fitted by AdaGrad on the logistic loss. ``rows`` hold places of terms."""
     random = np.random.default_rng(seed)
     share = np.clip(labels.mean(), 1e-6, 1 - 1e-6)
@@ -106,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     chosen = docs.select(key, text).join(F.broadcast(drawn), key).select("_label", text)
 
     def hashed(texts: list[str]) -> dict[str, list]:
-        return {"_terms": [sorted({bucket(t) for t in terms(x)}) for x in texts]}
+        return {"_terms": [sorted({b for w in words(x) for b in buckets(w)}) for x in texts]}
 
     rows = materialize(map_texts(chosen, ["_label"], text, hashed, "_terms array<long>"))
     totals = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("_label").alias("p")).first()
@@ -143,7 +147,7 @@ def _only(place: dict[int, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterato
 def scorer(machine: Machine | None, remembered: int = 300_000) -> Callable[[list[str]], np.ndarray]:
     """A function from texts to scores. A worker remembers the places of
     ``remembered`` words at most, then begins anew."""
-    places: dict[str, int] = {}
+    places: dict[str, tuple[int, ...]] = {}
 
     def score(texts: list[str]) -> np.ndarray:
         if machine is None:
@@ -152,13 +156,13 @@ def scorer(machine: Machine | None, remembered: int = 300_000) -> Callable[[list
         for text in texts:
             if len(places) > remembered:
                 places.clear()
-            found = set()
-            for word in terms(text):
+            found: set[int] = set()
+            for word in words(text):
                 at = places.get(word)
                 if at is None:
-                    at = places[word] = machine.place.get(bucket(word), -1)
-                if at >= 0:
-                    found.add(at)
+                    at = places[word] = tuple(machine.place[b] for b in buckets(word) if b in machine.place)
+                if at:
+                    found.update(at)
             rows.append(sorted(found))
         return 1 / (1 + np.exp(-machine.logit(rows)))
 
