@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -41,17 +43,30 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: the one the cluster
+    names in ``spark.checkpoint.dir``. Only on one machine, where none is
+    named, a temporary one is made, and removed when Python ends."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _local_folder:
+        _local_folder.append(tempfile.mkdtemp(prefix="millrace-"))
+        atexit.register(shutil.rmtree, _local_folder[0], ignore_errors=True)
+    return _local_folder[0]
+
+
+_local_folder: list[str] = []
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only
-    where none is named (single-machine tests) a temporary one is made.
-    """
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read on from there."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 
