@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe_fst, chat_format, exact_dedup, multiset_hash, simhash_anchor, source_mix, toxicity_fm, url_automaton
+from millrace.llm import (
+    bpe_fst, chat_format, exact_dedup, language_fusion, multiset_hash, secret_link, simhash_anchor, source_mix, toxicity_fm, url_automaton,
+)
 from millrace.llm.texts import whole_text, word_count
 from millrace.session import materialize
 
@@ -81,6 +83,14 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_secret_link(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_link.scan_texts(table(spark, folder, "documents"), ["doc_id"])
+
+
+def op8_language_fusion(spark: SparkSession, folder: str) -> DataFrame:
+    return language_fusion.identify(table(spark, folder, "pages"), table(spark, folder, "documents"))
+
+
 def op9_url_automaton(spark: SparkSession, folder: str) -> DataFrame:
     rules = url_automaton.ordered(
         [url_automaton.site_rule(v, r) for v, r in SITES], [url_automaton.Rule(v, None, g) for v, g in GLOBS]
@@ -100,6 +110,8 @@ def registered() -> dict[str, Query]:
         "op4_simhash_anchor": op4_simhash_anchor,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_chat_format": op6_chat_format,
+        "op7_secret_link": op7_secret_link,
+        "op8_language_fusion": op8_language_fusion,
         "op9_url_automaton": op9_url_automaton,
         "op10_bpe_fst": op10_bpe_fst,
     }

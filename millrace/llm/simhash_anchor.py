@@ -28,7 +28,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.texts import map_texts
 from millrace.session import materialize
@@ -215,13 +215,28 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
+def labelled(of_docs: DataFrame, low: Column, threshold: int) -> DataFrame:
+    """``fp`` and ``low``, the smallest ``low`` of all documents of its component."""
+    distinct = of_docs.groupBy("fp").agg(F.min(low).alias("low"))
+    found = components(links(distinct.select("fp"), threshold))
+    rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    lowest = rooted.groupBy("root").agg(F.min("low").alias("low"))
+    return rooted.select("fp", "root").join(lowest, "root").select("fp", "low")
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """One row per document: ``key``, ``fp`` and ``component_id``, the smallest
     ``key`` that can be reached over links."""
     of_docs = materialize(fingerprints(docs, [key], text))
-    distinct = of_docs.groupBy("fp").agg(F.min(key).alias("low"))
-    found = components(links(distinct.select("fp"), threshold))
-    rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    labels = rooted.select("fp", "root").join(lowest, "root").select("fp", "component_id")
-    return of_docs.join(labels, "fp").select(key, "fp", "component_id")
+    return of_docs.join(labelled(of_docs, F.col(key), threshold), "fp").select(key, "fp", F.col("low").alias("component_id"))
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """The whole rows of ``docs`` whose ``key`` is the smallest of their
+    component; of equal keys the one with the smallest text hash. Rows that
+    repeat key and text are one document and stay together."""
+    mark = F.xxhash64(F.col(text))
+    of_docs = materialize(fingerprints(docs.select(F.col(key).alias("_key"), mark.alias("_mark"), F.col(text)), ["_key", "_mark"], text))
+    own = F.struct("_key", "_mark")
+    dropped = of_docs.join(labelled(of_docs, own, threshold), "fp").where(~own.eqNullSafe(F.col("low"))).select("_key", "_mark")
+    return docs.join(dropped, F.col(key).eqNullSafe(F.col("_key")) & (mark == F.col("_mark")), "left_anti")
