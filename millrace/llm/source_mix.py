@@ -124,10 +124,28 @@ def make_plan(sized: DataFrame, weights: tuple, repeats: int, block_words: int)
     ), len(plan)
 
 
-def copies(where: Column, block: Column) -> Column:
+def copies(where: Column, block: Column, plan: Column) -> Column:
     """How often the mix takes a document, given its source's plan."""
-    drawn = (block < F.col("edge")) | (block == F.col("edge")) & (where <= F.col("last_place")) | (where == F.col("extra_place"))
-    return F.least(F.col("passes") + F.when(drawn, 1).otherwise(0), F.lit(REPEATS))
+    drawn = (block < plan["edge"]) | (block == plan["edge"]) & (where <= plan["last_place"]) | (where == plan["extra_place"])
+    return F.least(plan["passes"] + F.when(drawn, 1).otherwise(0), F.lit(REPEATS))
+
+
+def splitter(begun: int, levels: int, seed: int):
+    """A function that splits the rows of one node at level ``begun`` by ``levels`` levels."""
+
+    def split(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("number")
+        numbers, level = rows["number"].to_numpy(), {int(rows["node"].iloc[0]): rows["quota"].to_numpy()}
+        for at in range(begun, begun + levels):
+            below = {}
+            for node, quota in level.items():
+                random = np.random.default_rng([seed, at, node])
+                left = random.multivariate_hypergeometric(quota, int(quota.sum()) // 2, method="marginals")
+                below[2 * node], below[2 * node + 1] = left, quota - left
+            level = below
+        return pd.concat([pd.DataFrame({"node": n, "number": numbers, "quota": q})[q > 0] for n, q in level.items()])
+
+    return split
 
 
 def split_tree(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
@@ -138,21 +156,7 @@ def split_tree(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
     done = 0
     while done < depth:
         levels = min(LEVELS, depth - done)
-
-        def split(rows: pd.DataFrame, begun: int = done, levels: int = levels) -> pd.DataFrame:
-            rows = rows.sort_values("number")
-            numbers, top = rows["number"].to_numpy(), int(rows["node"].iloc[0])
-            level = {top: rows["quota"].to_numpy()}
-            for at in range(begun, begun + levels):
-                below = {}
-                for node, quota in level.items():
-                    random = np.random.default_rng([seed, at, node])
-                    left = random.multivariate_hypergeometric(quota, int(quota.sum()) // 2, method="marginals")
-                    below[2 * node], below[2 * node + 1] = left, quota - left
-                level = below
-            return pd.concat([pd.DataFrame({"node": n, "number": numbers, "quota": q})[q > 0] for n, q in level.items()])
-
-        nodes = nodes.groupBy("node").applyInPandas(split, "node long, number int, quota long")
+        nodes = nodes.groupBy("node").applyInPandas(splitter(done, levels, seed), "node long, number int, quota long")
         done += levels
     return nodes
 
@@ -175,17 +179,18 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         F.col("number").alias("_number"), F.col("node").alias("_shard"),
         F.explode(F.sequence(F.col("end") - F.col("quota"), F.col("end") - 1)).alias("_slot"),
     )
-    small = hint(plan.withColumnRenamed("source", "_source"), rows)
-    here = docs.join(small, F.col(source).eqNullSafe(F.col("_source")))
-    block = block_of(where, F.col("blocks"))
-    slot = F.col("_copy") * F.col("blocks") + F.when(F.col("_copy") < F.col("passes"), block).otherwise(F.least(block, F.col("edge")))
+    small = hint(plan.select(F.col("source").alias("_source"), F.struct("*").alias("_plan")), rows)
+    of = F.col("_plan")
+    block = block_of(where, of["blocks"])
+    slot = F.col("_copy") * of["blocks"] + F.when(F.col("_copy") < of["passes"], block).otherwise(F.least(block, of["edge"]))
+    own = [F.col(f"`{c}`") for c in docs.columns]
     taken = (
-        here.withColumn("_n", copies(where, block)).where("_n > 0")
+        docs.join(small, F.col(source).eqNullSafe(F.col("_source"))).withColumn("_n", copies(where, block, of)).where("_n > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-        .select(*[F.col(f"`{c}`") for c in docs.columns], F.col("number").alias("_number"), "_copy", slot.alias("_slot"))
+        .select(*own, of["number"].alias("_number"), "_copy", slot.alias("_slot"))
     )
     order = F.xxhash64(F.lit(seed), "_shard", F.col(key), "_copy")
-    return plan, taken.join(slots, ["_number", "_slot"]).withColumn("_order", order).drop("_slot")
+    return plan, taken.join(slots, ["_number", "_slot"]).select(*own, "_number", "_copy", "_shard", order.alias("_order"))
 
 
 def shuffled(mixed: DataFrame) -> DataFrame:

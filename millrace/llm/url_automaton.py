@@ -124,7 +124,9 @@ def path_of(url: Column) -> Column:
 
 
 def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str = "url", default: str = "allow") -> DataFrame:
-    """``key``, host, path, rule, glob_rule and verdict of every row; ``rules`` in order of priority."""
+    """``key``, host, path, rule, glob_rule and verdict of every row; ``rules`` in order of priority, one at least."""
+    if not rules:
+        raise ValueError("no rules")
     machine = Automaton(rules)
     parts = pages.select(key, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
 
