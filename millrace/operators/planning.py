@@ -90,53 +90,61 @@ def inventory_plan(forecasts: DataFrame, by: Sequence[str] = PLAN_KEYS, **parame
     return with_plan(demand_profile(forecasts, by), **parameters).drop("total")
 
 
+def _gained(model_mape: Column | float, base_mape: Column | float) -> Column:
+    """MAPE points that the model saves."""
+    model, base = (x if isinstance(x, Column) else F.lit(float(x)) for x in (model_mape, base_mape))
+    return base - model
+
+
 def business_impact(
     plan: DataFrame,
-    model_mape: float = 18.56,
-    base_mape: float = 19.17,
+    model_mape: Column | float,
+    base_mape: Column | float,
     unit_cost: float = 25.0,
     holding_rate: float = 0.2,
 ) -> DataFrame:
-    """Yearly savings of a more accurate forecast, half of it as stockouts."""
-    gained = float(base_mape) - float(model_mape)
+    """Yearly savings of a more accurate forecast, half of it as stockouts; the
+    MAPEs are those measured for the served model and for the baseline."""
+    gained = _gained(model_mape, base_mape)
     units = F.col("annual_demand") * (gained / 100.0)
     impact = plan.select(
         *[c for c in plan.columns if c in PLAN_KEYS],
-        F.lit(gained).alias("mape_improvement_pct"),
+        gained.alias("mape_improvement_pct"),
         units.alias("units_better_estimated"),
         (units * unit_cost * holding_rate).alias("excess_holding_savings"),
         (units * unit_cost * 2.0 * 0.5).alias("stockout_savings"),
     )
     total = F.col("excess_holding_savings") + F.col("stockout_savings")
     return impact.withColumns(
-        {"total_annual_savings": total, "cost_per_mape_pct": total / gained if gained > 0 else F.lit(0.0)}
+        {"total_annual_savings": total, "cost_per_mape_pct": F.when(gained > 0, total / gained).otherwise(0.0)}
     )
 
 
 def abc_by_rank(totals: DataFrame, value: str = "total", ties: Sequence[str] = PLAN_KEYS) -> DataFrame:
-    """Top fifth by value A, next three tenths B, the rest C."""
+    """Top fifth by value A, next three tenths B, the rest C; no class without a value."""
     ranked = order_globally(totals.filter(F.col(value).isNotNull()), value, ties)
     share = F.col("row_no") / ranked.agg(F.count("*")).scalar()
-    return ranked.withColumn("abc", F.when(share <= 0.20, "A").when(share <= 0.50, "B").otherwise("C")).drop(
-        "row_no", "rank", "dense_rank"
-    )
+    classed = ranked.withColumn("abc", F.when(share <= 0.20, "A").when(share <= 0.50, "B").otherwise("C"))
+    without = totals.filter(F.col(value).isNull()).withColumn("abc", F.lit(None).cast("string"))
+    return classed.select(*without.columns).unionByName(without)
 
 
 def portfolio(forecasts: DataFrame, stats: DataFrame, selection: DataFrame) -> DataFrame:
-    """Per category: served model, forecast mean and total, historical mean,
-    class, and a flag when forecast and history are not of one scale."""
+    """Per known category: served model, forecast mean and total, historical
+    mean, class, and a flag when forecast and history are not of one scale. A
+    category without a forecast stays, with the model ``ERROR`` and no total."""
     totals = forecasts.groupBy("category").agg(
         F.avg("forecast").alias("_mean"), half_up(F.sum("forecast"), 1).alias("total_7d")
     )
     ratio = F.try_divide(half_up(F.col("_mean"), 3), F.col("historical_avg"))
     off = (F.col("_mean") > 0) & (F.col("historical_avg") > 0) & ~((ratio > 0.3) & (ratio < 3.0))
     return (
-        abc_by_rank(totals, "total_7d")
-        .join(stats.select("category", F.col("avg_daily_demand").alias("historical_avg")), "category", "left")
+        stats.select("category", F.col("avg_daily_demand").alias("historical_avg"))
+        .join(abc_by_rank(totals, "total_7d"), "category", "full")
         .join(selection.select("category", "selected_model", "confidence"), "category", "left")
         .select(
             "category",
-            F.coalesce(F.upper("selected_model"), F.lit("ERROR")).alias("model"),
+            F.when(F.col("total_7d").isNotNull(), F.coalesce(F.upper("selected_model"), F.lit("ERROR"))).otherwise("ERROR").alias("model"),
             half_up(F.col("_mean"), 3).alias("avg_daily_forecast"),
             "total_7d",
             "historical_avg",
@@ -205,14 +213,14 @@ def lead_time_curve(forecasts: DataFrame, lead_times: Sequence[float] = LEAD_TIM
 def executive_summary(
     portfolio_rows: DataFrame,
     forecasts: DataFrame,
+    model_mape: Column | float,
+    base_mape: Column | float,
     lead_time: float = 7,
     unit_cost: float = 25.0,
     holding_rate: float = 0.2,
-    model_mape: float = 18.56,
-    base_mape: float = 19.17,
 ) -> DataFrame:
     """One row: total demand, stock value over the lead time, savings, routing."""
-    gained = float(base_mape) - float(model_mape)
+    gained = _gained(model_mape, base_mape)
     total = forecasts.agg(F.sum("forecast")).scalar()
     daily = F.col("total_7d_demand") / 7.0
     counted = portfolio_rows.agg(
@@ -225,7 +233,7 @@ def executive_summary(
         daily.alias("avg_daily_total"),
         (daily * lead_time * unit_cost).alias("inventory_value"),
         (daily * 365 * (gained / 100.0) * unit_cost * (holding_rate + 2.0 * 0.5)).alias("est_annual_savings"),
-        F.lit(gained).alias("mape_points_gained"),
+        gained.alias("mape_points_gained"),
         "gbm_routed",
         (F.col("total_categories") - F.col("gbm_routed")).alias("other_routed"),
     )

@@ -14,10 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.fixed_values import SENTIMENT_NEGATION_FACTOR, SENTIMENT_NORMALISER
-from millrace.session import broadcast_if_small
 
 WEIGHT = "decimal(10,4)"
-LEXICON_ROWS = 200_000  # a word list up to this size is broadcast, about 10 MB
 
 
 def review_text(title: str = "title", message: str = "message"):
@@ -34,19 +32,15 @@ def sentiment_score(
     the sum is squeezed into [-1, 1]; a blank text scores 0."""
     tokens = F.regexp_extract_all(F.lower(review_text()), F.lit(r"([\p{L}']+)"), F.lit(1))
 
-    # the token array next to copies of itself moved by 1 to `window` places
-    moved = [F.concat(F.array_repeat(F.lit(None).cast("string"), k), F.col("words")).alias(f"b{k}") for k in range(1, window + 1)]
+    def negated(i):
+        before = [F.get("words", i - k).isin(*negations) for k in range(1, window + 1)]
+        return F.coalesce(reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x in before]), F.lit(False))
+
+    flagged = F.transform("words", lambda word, i: F.struct(word.alias("token"), negated(i).alias("negated")))
     words = (
         reviews.select("review_id", tokens.alias("words"))
-        .select("review_id", F.explode_outer(F.arrays_zip("words", *moved)).alias("word"))
-        .select(
-            "review_id",
-            F.col("word.words").alias("token"),
-            reduce(
-                lambda a, b: a | b,
-                [F.coalesce(F.col("word")[f"b{k}"].isin(*negations), F.lit(False)) for k in range(1, window + 1)],
-            ).alias("negated"),
-        )
+        .select("review_id", F.explode_outer(flagged).alias("word"))
+        .select("review_id", "word.token", "word.negated")
     )
     weight = F.col("weight").cast(WEIGHT)
     signed = F.when(F.col("negated"), weight * F.lit(str(SENTIMENT_NEGATION_FACTOR)).cast("decimal(4,2)")).otherwise(
@@ -54,7 +48,7 @@ def sentiment_score(
     )
     total = F.sum(F.coalesce(signed, F.lit(0).cast("decimal(14,6)")))
     return (
-        words.join(broadcast_if_small(lexicon.select("token", "weight"), LEXICON_ROWS), "token", "left")
+        words.join(lexicon.select("token", "weight"), "token", "left")
         .groupBy("review_id")
         .agg(total.cast("double").alias("total"))
         .select(

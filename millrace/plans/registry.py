@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from millrace.functions.numeric import half_up
 from millrace.operators import (
@@ -28,7 +28,7 @@ from millrace.plans import monthly_report
 from millrace.plans.demand_series import DemandSeries, demand_series, indexed_series
 from millrace.plans.forecast_run import forecast_run
 from millrace.plans.roles import Shop, holidays
-from millrace.session import materialize, tune
+from millrace.session import materialize
 from millrace.sources.load import catalogue, keep_first
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +52,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def _on_shop(build: Callable[[Shop], DataFrame]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return comparable(build(Shop(tune(spark), folder)))
+        return comparable(build(Shop(spark, folder)))
 
     return run
 
@@ -116,12 +116,18 @@ def texts(s: Shop) -> DataFrame:
     """Documents as reviews: the source is the title, the text the message."""
     return s.documents.select(
         F.col("doc_id").alias("review_id"),
-        F.when(F.col("doc_id") % 3 != 0, F.col("source")).alias("title"),
-        F.when(F.col("doc_id") % 50 != 0, F.col("text")).alias("message"),
-        F.when(F.col("doc_id") % 7 == 0, F.lit("0.2500").cast("decimal(5,4)")).alias("sentiment_score"),
+        F.col("source").alias("title"),
+        F.col("text").alias("message"),
+        F.lit(None).cast("decimal(5,4)").alias("sentiment_score"),
     )
 
 
+def earlier_scores(s: Shop) -> DataFrame:
+    """Scores of an earlier run: the Spanish documents have one."""
+    given = F.lit("0.2500").cast("decimal(5,4)").alias("sentiment_score")
+    return s.documents.filter(F.col("lang") == "es").select(F.col("doc_id").alias("review_id"), given)
+
+
 def _scores(s: Shop) -> DataFrame:
     return sentiment.sentiment_score(texts(s), lexicon(s.spark), NEGATIONS)
 
@@ -155,12 +161,15 @@ LOAD: dict[str, Callable[[Shop], DataFrame]] = {
     "dq_report": _dq,
     "keep_first": _first_items,
     "table_catalogue": lambda s: catalogue(
-        {"orders": s.orders, "order_items": s.items, "products": s.products, "sellers": s.sellers}
+        {
+            "orders": s.orders, "order_items": s.items, "products": s.products, "sellers": s.sellers,
+            "reviews": s.reviews, "customers": s.customers, "documents": s.documents,
+        }
     ),
     "sentiment_score": _scores,
     "sentiment_distribution": lambda s: sentiment.sentiment_distribution(_scores(s)),
     "sentiment_backfill": lambda s: sentiment.sentiment_backfill(
-        texts(s), lexicon(s.spark), None, NEGATIONS
+        texts(s), lexicon(s.spark), earlier_scores(s), NEGATIONS
     ).select("review_id", "sentiment_score"),
 }
 
@@ -268,16 +277,14 @@ class Backtest:
         return evaluation.classify_lift(self.against_baseline(), self.threshold())
 
     def results(self) -> DataFrame:
-        """The three model families, stood in for by three baselines; where a
-        category name ends in 7 or 8 a family has no result."""
+        """The three model families, stood in for by three baselines."""
         family = (
             F.when(F.col("model") == "Average_Demand", "baseline")
             .when(F.col("model") == "Seasonal_Naive", "lstm")
             .when(F.col("model") == "Trend_Season", "gbm")
         )
-        ends = F.substring("category", -1, 1)
         bar = F.when(family == "gbm", self.threshold().select(F.col("threshold") / 50).scalar())
-        rows = self.metrics().select(
+        return self.metrics().select(
             family.alias("model"),
             "category",
             "mape",
@@ -285,25 +292,26 @@ class Backtest:
             F.when(family != "baseline", F.lit(100.0) - F.col("mape")).alias("forecast_skill_pct"),
             bar.alias("noise_threshold_pp"),
         ).filter(F.col("model").isNotNull())
-        return rows.filter(~((ends == "7") & (F.col("model") != "lstm")) & ~((ends == "8") & (F.col("model") == "gbm")))
+
+    def mean_mape(self, model: str) -> Column:
+        """Mean MAPE of a model over the categories, as a scalar."""
+        return self.metrics().filter(F.col("model") == model).agg(F.avg("mape")).scalar()
 
     def forecasts(self) -> DataFrame:
         """A week ahead: the last week again, with a band from the last 30 days."""
         back = F.row_number().over(W.partitionBy("category").orderBy(F.desc("idx")))
         recent = self.series.withColumn("back", back).filter(F.col("back") <= 30)
         spread = F.stddev_pop("y").over(W.partitionBy("category")) * 1.96
-        ends = F.substring("category", -1, 1)
         return (
-            recent.withColumn("spread", F.when(ends != "3", spread))
+            recent.withColumn("spread", spread)
             .filter(F.col("back") <= 7)
             .select(
                 "category",
                 (8 - F.col("back")).alias("day"),
                 F.col("y").alias("forecast"),
                 F.greatest(F.col("y") - F.col("spread"), F.lit(0.0)).alias("lower"),
-                F.when(F.col("spread").isNotNull(), F.col("y") + F.col("spread")).alias("upper"),
+                (F.col("y") + F.col("spread")).alias("upper"),
             )
-            .withColumn("lower", F.when(F.col("upper").isNotNull(), F.col("lower")))
         )
 
     def horizon_pred(self) -> DataFrame:
@@ -320,8 +328,8 @@ def _selection(b: Backtest) -> tuple[DataFrame, DataFrame]:
 
 def _resolve(b: Backtest) -> DataFrame:
     selection, board = _selection(b)
-    asked = F.when(F.col("idx") == 0, "auto").when(F.col("idx") == 1, " GBM ").when(F.col("idx") == 2, "prophet")
-    known = b.series.filter("idx < 4").select("category", asked.alias("requested"))
+    asked = F.array(F.lit("auto"), F.lit(" GBM "), F.lit("prophet"), F.lit(None))
+    known = b.series.select("category").distinct().select("category", F.explode(asked).alias("requested"))
     unseen = known.select(F.concat(F.col("category"), F.lit("-new")).alias("category"), "requested")
     return routing.resolve_model(known.unionByName(unseen), selection, routing.global_default(board)).drop("reason")
 
@@ -382,13 +390,17 @@ ROUTING: dict[str, Callable[[Backtest], DataFrame]] = {
         b.metrics().filter(F.col("model") == "Trend_Season"), ["mape", "rmse", "bias"]
     ),
     "inventory_plan": lambda b: planning.inventory_plan(b.forecasts()),
-    "business_impact": lambda b: planning.business_impact(planning.inventory_plan(b.forecasts())),
+    "business_impact": lambda b: planning.business_impact(
+        planning.inventory_plan(b.forecasts()), b.mean_mape("Trend_Season"), b.mean_mape("Average_Demand")
+    ),
     "abc_by_rank": lambda b: planning.abc_by_rank(b.forecasts().groupBy("category").agg(F.sum("forecast").alias("total"))),
     "portfolio": _portfolio,
     "demand_spike": lambda b: planning.demand_spike(b.forecasts()),
     "service_level_curve": lambda b: planning.service_level_curve(b.forecasts()),
     "lead_time_curve": lambda b: planning.lead_time_curve(b.forecasts()),
-    "executive_summary": lambda b: planning.executive_summary(_portfolio(b), b.forecasts()),
+    "executive_summary": lambda b: planning.executive_summary(
+        _portfolio(b), b.forecasts(), b.mean_mape("Trend_Season"), b.mean_mape("Average_Demand")
+    ),
     "forecast_export": lambda b: planning.forecast_export(b.forecasts()),
 }
 
