@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from millrace.fixed_values import FEATURES, SCALED_FEATURES
 from millrace.functions.numeric import half_up, percent, ratio
+from millrace.operators.demand import seasonality_lookup
+
+INCOMPLETE_DAYS = 10  # at the end of an order table
 
 def by_day():
     return W.partitionBy("category").orderBy("sale_date")
@@ -157,8 +160,7 @@ def all_features(
     if calendar is None:
         featured = featured.withColumns({"is_holiday": F.lit(0), "days_to_holiday": F.lit(30)})
     else:
-        # one row per calendar day: a century is under 40,000 rows
-        featured = featured.join(F.broadcast(calendar), "sale_date", "left").withColumns(
+        featured = featured.join(calendar, "sale_date", "left").withColumns(
             {
                 "is_holiday": F.coalesce("is_holiday", F.lit(0)),
                 "days_to_holiday": F.coalesce("days_to_holiday", F.lit(30)),
@@ -167,6 +169,15 @@ def all_features(
     return featured.select("sale_date", "category", *FEATURES)
 
 
+def with_seasonality(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Feature rows whose seasonality comes from the days in ``known`` alone."""
+    lookup = seasonality_lookup(known.select("category", "sale_date", "units_sold")).select(
+        "category", F.col("month_num").alias("_month"), F.col("seasonality_index").cast("double").alias("_seasonal")
+    )
+    joined = rows.withColumn("_month", F.month("sale_date")).join(lookup, ["category", "_month"], "left")
+    return joined.withColumn("seasonality_index", F.coalesce("_seasonal", F.lit(100.0))).drop("_month", "_seasonal")
+
+
 def demand_features(
     dense: DataFrame, seasonality: DataFrame, calendar: DataFrame | None = None, window: int = 30
 ) -> DataFrame:
@@ -179,7 +190,7 @@ def latest_feature_row(
     seasonality: DataFrame,
     calendar: DataFrame | None = None,
     as_of: dt.date | str | None = None,
-    buffer_days: int = 10,
+    buffer_days: int = INCOMPLETE_DAYS,
     lookback: int = 60,
 ) -> DataFrame:
     """The feature row of every category at one date.

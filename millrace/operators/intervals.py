@@ -57,11 +57,14 @@ def apply_intervals(forecast: DataFrame, offsets: DataFrame, by: Sequence[str] =
 
 
 def quantile_bounds(
-    pred: DataFrame, levels: Sequence[float] = LEVELS, by: Sequence[str] = ("horizon", "category")
+    pred: DataFrame,
+    fit: Column,
+    levels: Sequence[float] = LEVELS,
+    by: Sequence[str] = ("horizon", "category"),
 ) -> DataFrame:
-    """Lower and upper bounds of each prediction from the residuals of its own
-    horizon and category."""
-    return apply_intervals(pred, residual_intervals(pred, levels, by), by)
+    """Lower and upper bounds of each prediction that ``fit`` does not mark,
+    from the residuals of those it marks, by horizon and category."""
+    return apply_intervals(pred.filter(~fit), residual_intervals(pred.filter(fit), levels, by), by)
 
 
 def ordered_bounds(bounds: DataFrame) -> DataFrame:

@@ -10,20 +10,32 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark import inheritable_thread_target
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from millrace.fixed_values import FEATURES
 from millrace.operators.backtest import chronological_split, walk_forward_folds
 from millrace.operators.evaluation import metric_columns
-from millrace.operators.features import horizon_targets, scaler_apply, scaler_fit, smooth_target, to_raw_scale
+from millrace.operators.features import (
+    horizon_targets,
+    scaler_apply,
+    scaler_fit,
+    smooth_target,
+    to_raw_scale,
+    with_seasonality,
+)
 from millrace.operators.global_order import order_globally
 from millrace.session import materialize
 
-INPUTS = (*FEATURES, "anchor")
+# A category enters as two numbers of its training rows, so neither the driver
+# nor the trees' bins hold anything that grows with the categories.
+LEVELS = ("category_mean", "category_spread")
+INPUTS = (*LEVELS, *FEATURES, "anchor")
+PARALLEL_FITS = 7
 
 
 @dataclass(frozen=True)
@@ -38,17 +50,23 @@ class TreeParams:
 
 @dataclass
 class HorizonModels:
-    """The shared input stage and one fitted model per horizon day."""
+    """Level and spread of each category, their means for a category not met in
+    training, and one fitted model per horizon day."""
 
-    inputs: PipelineModel
+    levels: DataFrame
+    unseen: dict[str, float]
     by_day: dict[int, GBTRegressionModel] = field(default_factory=dict)
 
     def predict(self, rows: DataFrame) -> DataFrame:
         """Rows with ``yhat_d1`` and so on, in scaled units."""
-        scored = self.inputs.transform(rows)
+        scored = self.inputs(rows)
         for day, model in self.by_day.items():
             scored = model.setPredictionCol(f"yhat_d{day}").transform(scored)
-        return scored.drop("_inputs", "_category")
+        return scored.drop("_inputs", *LEVELS)
+
+    def inputs(self, rows: DataFrame) -> DataFrame:
+        known = rows.join(self.levels, "category", "left").fillna(self.unseen)
+        return VectorAssembler(inputCols=list(INPUTS), outputCol="_inputs").transform(known)
 
 
 # -- rows ---------------------------------------------------------------------
@@ -74,18 +92,19 @@ def train_horizon_models(
 ) -> HorizonModels:
     """Fit one model per day on rows marked train or es in ``split``; boosting
     stops when the es rows no longer improve."""
-    indexer = StringIndexer(
-        inputCol="category", outputCol="_category", stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(matrix)
-    assembler = VectorAssembler(inputCols=["_category", *INPUTS], outputCol="_inputs")
-    inputs = PipelineModel([indexer, assembler])
+    levels = materialize(
+        matrix.filter(F.col("split") == "train").groupBy("category").agg(
+            F.avg("anchor").alias("category_mean"), F.stddev_pop("anchor").alias("category_spread")
+        )
+    )
+    means = levels.agg(*[F.avg(c).alias(c) for c in LEVELS]).first()
+    models = HorizonModels(levels, {c: float(means[c] or 0.0) for c in LEVELS})
     targets = [f"target_d{d}" for d in range(1, horizon + 1)]
     ready = materialize(
-        inputs.transform(matrix).select("_inputs", *targets, (F.col("split") == "es").alias("_held"))
+        models.inputs(matrix).select("_inputs", *targets, (F.col("split") == "es").alias("_held"))
     )
-    bins = max(32, len(indexer.labels) + 1)
-    models = HorizonModels(inputs)
-    for day in range(1, horizon + 1):
+
+    def fit(day: int) -> GBTRegressionModel:
         trees = GBTRegressor(
             featuresCol="_inputs",
             labelCol=f"target_d{day}",
@@ -95,13 +114,24 @@ def train_horizon_models(
             stepSize=params.step_size,
             subsamplingRate=params.subsampling,
             minInstancesPerNode=params.min_rows,
-            maxBins=bins,
             seed=params.seed,
         )
-        models.by_day[day] = trees.fit(ready)
+        return trees.fit(ready)
+
+    # A fit is a chain of small jobs; those of several days fill the cluster together.
+    with ThreadPool(min(horizon, PARALLEL_FITS)) as pool:
+        days = range(1, horizon + 1)
+        models.by_day.update(zip(days, pool.map(inheritable_thread_target(ready.sparkSession)(fit), days)))
     return models
 
 
+def before_holdout(split: DataFrame, horizon: int) -> DataFrame:
+    """Rows whose targets all lie before the held-out tail of their category."""
+    first_held = split.filter(F.col("split") == "holdout").groupBy("category").agg(F.min("row_idx").alias("_held"))
+    kept = split.join(first_held, "category").filter((F.col("split") != "holdout") & (F.col("row_idx") + horizon < F.col("_held")))
+    return kept.drop("_held")
+
+
 def long_forecasts(scored: DataFrame, scaler: DataFrame, days: Sequence[int], keep: Sequence[str]) -> DataFrame:
     """One row per horizon day in raw units, predictions not under 0."""
     has_target = all(f"target_d{d}" in scored.columns for d in days)
@@ -137,6 +167,7 @@ def fold_forecasts(
     """Fit on what lies before one fold and forecast its test window."""
     this = folds.filter(F.col("fold") == fold).select("category", "train_end", "test_start", "test_end")
     in_fold = numbered(features).join(this, "category")
+    in_fold = with_seasonality(in_fold, in_fold.filter(F.col("idx") < F.col("train_end")))
     scaler = materialize(scaler_fit(in_fold.filter(F.col("idx") < F.col("train_end"))))
     rows = model_rows(in_fold, scaler, horizon)
     train = rows.filter(F.col("row_idx") + horizon < F.col("train_end"))
@@ -166,7 +197,7 @@ def walk_forward_cv(
 def model_importance(models: HorizonModels) -> DataFrame:
     """Split importance of each input, averaged over the horizon models; as
     many rows as there are inputs."""
-    names = ["category", *INPUTS]
+    names = list(INPUTS)
     totals = [sum(float(m.featureImportances[i]) for m in models.by_day.values()) for i in range(len(names))]
     spark = SparkSession.getActiveSession()
     rows = [(name, total / len(models.by_day)) for name, total in zip(names, totals)]
@@ -234,12 +265,16 @@ def compare_lookbacks(
 
 def tune_params(matrix: DataFrame, grid: Sequence[TreeParams], horizon: int = 7) -> DataFrame:
     """Mean absolute error of each parameter set on the last tenth of every
-    category, best first. The tenth before it stops the boosting early."""
+    category, best first, with the rows fitted and judged on. The tenth before
+    it stops the boosting early; rows whose targets reach into the last tenth
+    are not used."""
     split = materialize(chronological_split(matrix, es=0.10, holdout=0.10))
     held = split.filter(F.col("split") == "holdout")
+    used = materialize(before_holdout(split, horizon))
+    train_rows, held_rows = used.count(), held.count()
     parts = []
     for params in grid:
-        models = train_horizon_models(split.filter(F.col("split") != "holdout"), params, horizon)
+        models = train_horizon_models(used, params, horizon)
         scored = models.predict(held)
         off = [F.abs(F.col(f"yhat_d{d}") - F.col(f"target_d{d}")) for d in models.by_day]
         error = F.avg(reduce(lambda a, b: a + b, off) / len(off)).alias("score")
@@ -248,6 +283,8 @@ def tune_params(matrix: DataFrame, grid: Sequence[TreeParams], horizon: int = 7)
                 F.lit(params.max_depth).alias("max_depth"),
                 F.lit(params.step_size).alias("step_size"),
                 F.lit(params.max_iter).alias("max_iter"),
+                F.lit(train_rows).cast("long").alias("train_rows"),
+                F.lit(held_rows).cast("long").alias("held_rows"),
                 "score",
             )
         )

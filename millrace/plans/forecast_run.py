@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.backtest import chronological_split
 from millrace.operators.features import scaler_fit
@@ -15,6 +15,7 @@ from millrace.operators.intervals import LEVELS, apply_intervals, apply_pad, con
 from millrace.operators.models import (
     HorizonModels,
     TreeParams,
+    before_holdout,
     long_forecasts,
     model_rows,
     score_forecasts,
@@ -41,9 +42,11 @@ def forecast_run(
     levels: Sequence[float] = LEVELS,
     es: float = 0.10,
     holdout: float = 0.07,
+    as_of: Column | None = None,
 ) -> ForecastRun:
     """Train on the early part of each series, take residual intervals and
-    their padding from the held-out tail, and score the newest row.
+    their padding from the held-out tail, and score the newest row, or that of
+    the day ``as_of`` up to which demand is complete.
 
     Days that overlap the held-out tail through their targets are not trained
     on. The pad is fitted on every other held-out day and reported on the rest.
@@ -54,11 +57,7 @@ def forecast_run(
     )
     scaler = materialize(scaler_fit(tail.filter(F.col("split") != "holdout")))
     split = materialize(chronological_split(model_rows(features, scaler, horizon), es, holdout))
-    first_held = split.filter(F.col("split") == "holdout").groupBy("category").agg(F.min("row_idx").alias("_held"))
-    train = split.join(first_held, "category").filter(
-        (F.col("split") != "holdout") & (F.col("row_idx") + horizon < F.col("_held"))
-    )
-    models = train_horizon_models(train.drop("_held"), params, horizon)
+    models = train_horizon_models(before_holdout(split, horizon), params, horizon)
     held = split.filter(F.col("split") == "holdout")
     held_out = materialize(
         long_forecasts(models.predict(held), scaler, list(models.by_day), ["category", F.col("row_idx").alias("idx"), "sale_date"])
@@ -66,7 +65,7 @@ def forecast_run(
     offsets = materialize(residual_intervals(held_out, levels))
     bounds = apply_intervals(held_out, offsets)
     pads = materialize(conformal_pad(bounds, F.col("idx") % 2 == 0, levels))
-    newest = score_forecasts(models, scoring_rows(features, scaler), scaler).withColumnRenamed("yhat", "predicted")
+    newest = score_forecasts(models, scoring_rows(features, scaler, as_of), scaler).withColumnRenamed("yhat", "predicted")
     served = apply_pad(apply_intervals(newest, offsets), pads)
     return ForecastRun(models, scaler, held_out, offsets, pads, served)
 

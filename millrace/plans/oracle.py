@@ -794,17 +794,20 @@ def evaluation() -> dict[str, str]:
         "r_metrics",
     )
     q["residual_intervals"] = rounded("r_offsets", "horizon, ~level, ~lower_offset, ~upper_offset")
-    bounds = """bounds AS (
+    bounds = """offsets AS (
+            SELECT horizon, UNNEST([0.8e0, 0.95e0]) AS level, UNNEST([q[2], q[1]]) AS lower_offset, UNNEST([q[3], q[4]]) AS upper_offset
+            FROM (SELECT horizon, quantile_cont(actual - predicted, [0.025, 0.1, 0.9, 0.975]) AS q FROM r_moves WHERE fold = 1 GROUP BY 1)),
+        bounds AS (
             SELECT r_moves.*, level, GREATEST(predicted + lower_offset, 0) AS lower, GREATEST(predicted + upper_offset, 0) AS upper
-            FROM r_moves JOIN r_offsets USING (horizon))"""
+            FROM r_moves JOIN offsets USING (horizon) WHERE fold > 1)"""
     own = """offsets AS (
             SELECT horizon, category, UNNEST([0.8e0, 0.95e0]) AS level, UNNEST([q[2], q[1]]) AS lo, UNNEST([q[3], q[4]]) AS hi
             FROM (SELECT horizon, category, quantile_cont(actual - predicted, [0.025, 0.1, 0.9, 0.975]) AS q
-                  FROM r_moves GROUP BY 1, 2))"""
+                  FROM r_moves WHERE fold < 3 GROUP BY 1, 2))"""
     q["quantile_bounds"] = with_roles(
-        f"""SELECT category, idx, horizon, {rnd('actual', 6)} AS actual, {rnd('predicted', 6)} AS predicted, {rnd('level', 6)} AS level,
+        f"""SELECT category, fold, idx, horizon, {rnd('actual', 6)} AS actual, {rnd('predicted', 6)} AS predicted, {rnd('level', 6)} AS level,
                    {rnd('GREATEST(predicted + lo, 0)', 6)} AS lower, {rnd('GREATEST(predicted + hi, 0)', 6)} AS upper
-            FROM r_moves JOIN offsets USING (horizon, category)""",
+            FROM r_moves JOIN offsets USING (horizon, category) WHERE fold = 3""",
         "r_moves", extra=own,
     )
     q["conformal_pad"] = with_roles(
@@ -815,8 +818,8 @@ def evaluation() -> dict[str, str]:
                          AVG(CAST(actual BETWEEN lower - pad AND upper + pad AS DOUBLE)) AS cal, AVG(upper - lower) AS width
                   FROM bounds JOIN (SELECT horizon, level, CASE level WHEN 0.8e0 THEN q[1] ELSE q[2] END AS pad FROM (
                       SELECT horizon, level, quantile_cont(GREATEST(lower - actual, actual - upper, 0), [0.8, 0.95]) AS q
-                      FROM bounds GROUP BY 1, 2)) USING (horizon, level) GROUP BY 1, 2)""",
-        "r_moves", "r_offsets", extra=bounds,
+                      FROM bounds WHERE fold = 2 GROUP BY 1, 2)) USING (horizon, level) WHERE fold = 3 GROUP BY 1, 2)""",
+        "r_moves", extra=bounds,
     )
     return q
 
@@ -931,5 +934,50 @@ def routing() -> dict[str, str]:
     return q
 
 
+def models() -> dict[str, str]:
+    """The rows that the model queries must have, and what holds of each."""
+    q: dict[str, str] = {}
+    days = "(VALUES (1), (2), (3), (4), (5), (6), (7)) AS days(horizon)"
+    served = "(SELECT MAX(sale_date) - 10 AS as_of FROM r_daily)"
+    q["score_forecasts"] = with_roles(
+        f"""SELECT category, as_of, CAST(horizon AS INT) AS horizon, TRUE AS not_negative
+            FROM r_features JOIN {served} ON sale_date = as_of CROSS JOIN {days}""",
+        "r_features", "r_daily",
+    )
+    q["served_forecasts"] = with_roles(
+        f"""SELECT category, as_of, CAST(horizon AS INT) AS horizon, level, TRUE AS ordered
+            FROM r_features JOIN {served} ON sale_date = as_of CROSS JOIN {days} CROSS JOIN (VALUES (0.8e0), (0.95e0)) AS l(level)""",
+        "r_features", "r_daily",
+    )
+    smooth = f"""smooth AS (
+            SELECT category, sale_date, ROW_NUMBER() OVER (PARTITION BY category ORDER BY sale_date) - 1 AS idx,
+                   COUNT(*) OVER (PARTITION BY category) AS n,
+                   AVG(LN(1 + units_sold)) OVER (PARTITION BY category ORDER BY sale_date ROWS 6 PRECEDING) AS s
+            FROM r_features)"""
+    q["walk_forward_cv"] = with_roles(
+        f"""SELECT a.category, fold, a.idx, a.sale_date, CAST(horizon AS INT) AS horizon, {rnd('EXP(a.s) - 1', 6)} AS anchor,
+                   {rnd('EXP(b.s) - 1', 6)} AS actual, TRUE AS not_negative
+            FROM smooth a CROSS JOIN (VALUES (1), (2), (3)) AS f(fold) CROSS JOIN {days}
+            JOIN smooth b ON b.category = a.category AND b.idx = a.idx + horizon
+            WHERE a.n - (4 - fold) * 30 >= 120 AND a.idx >= a.n - (4 - fold) * 30 AND a.idx < a.n - (3 - fold) * 30 AND a.idx + 7 < a.n""",
+        "r_features", extra=smooth,
+    )
+    names = [c.strip().lstrip("~") for c in FEATURE_LIST.split(",")]
+    inputs = ", ".join(f"('{c}')" for c in ["category_mean", "category_spread", *names, "anchor"])
+    q["model_importance"] = f"SELECT feature, TRUE AS not_negative, 1e0 AS total FROM (VALUES {inputs}) AS f(feature)"
+    swapped = ", ".join(f"('{c}')" for c in names)
+    q["permutation_importance"] = f"SELECT feature, TRUE AS base_known, TRUE AS spread_known FROM (VALUES {swapped}) AS f(feature)"
+    q["compare_lookbacks"] = "SELECT CAST(lookback AS INT) AS lookback, TRUE AS scored FROM (VALUES (30), (60), (90)) AS l(lookback)"
+    q["tune_params"] = with_roles(
+        f"""SELECT CAST(max_depth AS INT) AS max_depth, step_size, CAST(50 AS INT) AS max_iter, train_rows, held_rows, TRUE AS scored
+            FROM (SELECT SUM(n - ho - 7)::BIGINT AS train_rows, SUM(ho)::BIGINT AS held_rows
+                  FROM (SELECT COUNT(*) AS n, GREATEST(1, FLOOR(COUNT(*) * 0.1e0)) AS ho FROM r_targets GROUP BY category)
+                  WHERE n - 2 * ho >= 5)
+            CROSS JOIN (VALUES (5, 0.1e0), (4, 0.1e0), (5, 0.3e0)) AS grid(max_depth, step_size)""",
+        "r_targets",
+    )
+    return q
+
+
 def registered() -> dict[str, str]:
-    return {**analytics(), **load(), **series(), **evaluation(), **routing()}
+    return {**analytics(), **load(), **series(), **evaluation(), **routing(), **models()}

@@ -316,7 +316,7 @@ class Backtest:
 
     def horizon_pred(self) -> DataFrame:
         return self.moves().select(
-            "category", F.col("idx"), "horizon", "actual", F.col("predicted")
+            "category", "fold", F.col("idx"), "horizon", "actual", F.col("predicted")
         )
 
 
@@ -344,7 +344,9 @@ def _portfolio(b: Backtest) -> DataFrame:
 
 
 def _pads(b: Backtest) -> DataFrame:
-    return intervals.conformal_pad(intervals.quantile_bounds(b.horizon_pred(), by=["horizon"]))
+    """Bounds from the first fold, padding from the second, coverage on the third."""
+    bounds = intervals.quantile_bounds(b.horizon_pred(), F.col("fold") == 1, by=["horizon"])
+    return intervals.conformal_pad(bounds, F.col("fold") == 2)
 
 
 EVALUATION: dict[str, Callable[[Backtest], DataFrame]] = {
@@ -373,7 +375,7 @@ EVALUATION: dict[str, Callable[[Backtest], DataFrame]] = {
     "worst_category": lambda b: evaluation.worst_category(b.labelled(), b.series),
     "beat_target": lambda b: evaluation.beat_target(b.metrics()),
     "residual_intervals": lambda b: intervals.residual_intervals(b.horizon_pred()),
-    "quantile_bounds": lambda b: intervals.quantile_bounds(b.horizon_pred()),
+    "quantile_bounds": lambda b: intervals.quantile_bounds(b.horizon_pred(), F.col("fold") < 3),
     "conformal_pad": _pads,
 }
 
@@ -405,52 +407,81 @@ ROUTING: dict[str, Callable[[Backtest], DataFrame]] = {
 }
 
 
-# -- models: few and shallow trees, the point is the plan --------------------------
+# -- models: all days, folds, rounds and repeats ----------------------------------
+#
+# What a fit predicts has no SQL. The results are laid out so that SQL states
+# the rest: which rows there are, their facts, and what must hold of each.
 
-SMALL = models.TreeParams(max_iter=4, max_depth=3)
+
+def _complete_day(d: DemandSeries) -> Column:
+    """The day up to which demand is complete."""
+    return d.daily.agg(F.date_sub(F.max("sale_date"), features.INCOMPLETE_DAYS)).scalar()
 
 
 def _trained(d: DemandSeries) -> tuple[models.HorizonModels, DataFrame, DataFrame]:
     rows = materialize(d.features)
-    scaler = materialize(features.scaler_fit(rows))
+    placed = backtest.chronological_split(rows, order="sale_date")
+    scaler = materialize(features.scaler_fit(placed.filter(F.col("split") == "train")))
     matrix = materialize(backtest.chronological_split(models.model_rows(rows, scaler)))
-    return models.train_horizon_models(matrix, SMALL), matrix, scaler
+    return models.train_horizon_models(matrix), matrix, scaler
 
 
 def _score(d: DemandSeries) -> DataFrame:
     fitted, _, scaler = _trained(d)
-    return models.score_forecasts(fitted, models.scoring_rows(d.features, scaler), scaler)
+    scored = models.score_forecasts(fitted, models.scoring_rows(d.features, scaler, _complete_day(d)), scaler)
+    return scored.select("category", "as_of", "horizon", (F.col("yhat") >= 0).alias("not_negative"))
+
+
+def _served(d: DemandSeries) -> DataFrame:
+    served = forecast_run(d.features, as_of=_complete_day(d)).served
+    return served.select(
+        "category", "as_of", "horizon", "level",
+        ((F.col("lower") >= 0) & (F.col("lower") <= F.col("upper"))).alias("ordered"),
+    )
+
+
+def _importance(d: DemandSeries) -> DataFrame:
+    found = models.model_importance(_trained(d)[0])
+    total = found.agg(F.sum("importance")).scalar()
+    return found.select("feature", (F.col("importance") >= 0).alias("not_negative"), total.alias("total"))
 
 
 def _permuted(d: DemandSeries) -> DataFrame:
     fitted, matrix, scaler = _trained(d)
-    return models.permutation_importance(fitted, matrix.filter(F.col("split") == "es"), scaler, repeats=2)
+    found = models.permutation_importance(fitted, matrix.filter(F.col("split") == "es"), scaler)
+    return found.select(
+        "feature", (F.col("baseline_mape") > 0).alias("base_known"), (F.col("mape_increase_std") >= 0).alias("spread_known")
+    )
 
 
 def _cv(d: DemandSeries) -> DataFrame:
-    forecasts = models.walk_forward_cv(materialize(d.features), SMALL, horizon=2)
-    return evaluation.forecast_metrics(forecasts, ["category", "fold", "horizon"])
+    forecasts = models.walk_forward_cv(materialize(d.features))
+    return forecasts.select(
+        "category", "fold", "idx", "sale_date", "horizon", "anchor", "actual", (F.col("predicted") >= 0).alias("not_negative")
+    )
 
 
 def _lookbacks(d: DemandSeries) -> DataFrame:
     by_window = {
         days: materialize(features.demand_features(d.dense, d.seasonality, d.calendar, window=days)) for days in (30, 60, 90)
     }
-    return models.compare_lookbacks(by_window, SMALL, horizon=1)
+    return models.compare_lookbacks(by_window).select("lookback", (F.col("mape") > 0).alias("scored"))
 
 
 def _tuned(d: DemandSeries) -> DataFrame:
     rows = materialize(d.features)
-    matrix = models.model_rows(rows, materialize(features.scaler_fit(rows)))
-    grid = [SMALL, models.TreeParams(max_iter=4, max_depth=4), models.TreeParams(max_iter=4, max_depth=3, step_size=0.3)]
-    return models.tune_params(matrix, grid, horizon=1)
+    placed = backtest.chronological_split(rows, 0.10, 0.10, order="sale_date")
+    scaler = materialize(features.scaler_fit(placed.filter(F.col("split") != "holdout")))
+    grid = [models.TreeParams(), models.TreeParams(max_depth=4), models.TreeParams(step_size=0.3)]
+    found = models.tune_params(models.model_rows(rows, scaler), grid)
+    return found.select("max_depth", "step_size", "max_iter", "train_rows", "held_rows", (F.col("score") > 0).alias("scored"))
 
 
 MODELS: dict[str, Callable[[DemandSeries], DataFrame]] = {
     "score_forecasts": _score,
-    "served_forecasts": lambda d: forecast_run(d.features, SMALL).served,
+    "served_forecasts": _served,
     "walk_forward_cv": _cv,
-    "model_importance": lambda d: models.model_importance(_trained(d)[0]),
+    "model_importance": _importance,
     "permutation_importance": _permuted,
     "compare_lookbacks": _lookbacks,
     "tune_params": _tuned,
