@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from millrace.fixed_values import FEATURES, SCALED_FEATURES
 from millrace.functions.numeric import half_up, percent, ratio
 from millrace.operators.demand import seasonality_lookup
+from millrace.operators.global_order import number_globally
 
 INCOMPLETE_DAYS = 10  # at the end of an order table
 
@@ -310,7 +311,5 @@ def sequence_dataset(
 
 def category_index(df: DataFrame) -> DataFrame:
     """(category, id): ids follow the sorted order of the names."""
-    from millrace.operators.global_order import order_globally
-
-    ordered = order_globally(df.select("category").distinct(), "category", [], descending=False)
+    ordered = number_globally(df.select("category").distinct(), "category", [], descending=False)
     return ordered.select("category", (F.col("row_no") - 1).cast("int").alias("id"))

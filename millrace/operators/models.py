@@ -28,7 +28,7 @@ from millrace.operators.features import (
     to_raw_scale,
     with_seasonality,
 )
-from millrace.operators.global_order import order_globally
+from millrace.operators.global_order import number_globally
 from millrace.session import materialize
 
 # A category enters as two numbers of its training rows, so neither the driver
@@ -219,13 +219,13 @@ def permutation_importance(
     order. All inputs of a repeat are then scored in one job: a row is exploded
     into one copy per input, each copy with that input swapped."""
     keyed = materialize(rows.withColumn("_key", F.struct("category", "row_idx")))
-    own = order_globally(keyed, "_key", [], descending=False).drop("rank", "dense_rank")
+    own = number_globally(keyed, "_key", [], descending=False)
     parts = []
     for repeat in range(repeats):
         mixed = keyed.select(
             "_key", F.xxhash64("category", "row_idx", F.lit(seed + repeat)).alias("_mix"), F.struct(*columns).alias("_other")
         )
-        other = order_globally(mixed, "_mix", ["_key"], descending=False).select("row_no", "_other")
+        other = number_globally(mixed, "_mix", ["_key"], descending=False).select("row_no", "_other")
         pairs = own.join(other, "row_no")
         choice = F.explode(F.array(F.lit(""), *[F.lit(c) for c in columns])).alias("feature")
         copies = pairs.select("*", choice, F.lit(repeat).alias("repeat")).withColumns(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.fixed_values import LEAD_TIMES, SERVICE_LEVEL_Z, SERVICE_LEVELS
 from millrace.functions.numeric import half_up
-from millrace.operators.global_order import order_globally
+from millrace.operators.global_order import number_globally
 
 PLAN_KEYS = ("category",)
 
@@ -122,7 +122,7 @@ def business_impact(
 
 def abc_by_rank(totals: DataFrame, value: str = "total", ties: Sequence[str] = PLAN_KEYS) -> DataFrame:
     """Top fifth by value A, next three tenths B, the rest C; no class without a value."""
-    ranked = order_globally(totals.filter(F.col(value).isNotNull()), value, ties)
+    ranked = number_globally(totals.filter(F.col(value).isNotNull()), value, ties)
     share = F.col("row_no") / ranked.agg(F.count("*")).scalar()
     classed = ranked.withColumn("abc", F.when(share <= 0.20, "A").when(share <= 0.50, "B").otherwise("C"))
     without = totals.filter(F.col(value).isNull()).withColumn("abc", F.lit(None).cast("string"))

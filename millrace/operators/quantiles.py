@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.global_order import order_globally
+from millrace.operators.global_order import number_globally
 
 
 def exact_quantiles(
@@ -22,7 +22,7 @@ def exact_quantiles(
     rows = df.filter(F.col(value).isNotNull()).select(
         F.struct(*by).alias("_group"), F.col(value).cast("double").alias("_value"), *[F.col(t) for t in ties if t not in by]
     )
-    numbered = order_globally(rows, "_group", ["_value", *[t for t in ties if t not in by]], descending=False)
+    numbered = number_globally(rows, "_group", ["_value", *[t for t in ties if t not in by]], descending=False)
     spans = numbered.groupBy("_group").agg(F.min("row_no").alias("_first"), F.count("*").alias("n"))
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
     spot = F.col("prob") * (F.col("n") - 1)

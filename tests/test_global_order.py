@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Window as W, functions as F
 
+from millrace.operators import global_order
 from millrace.operators.global_order import order_globally
 from millrace.operators.quantiles import exact_quantiles
 
@@ -53,3 +54,20 @@ def test_quantiles_equal_numpy(spark):
         x = [r[2] for r in rows if r[0] == row["g"] and r[2] is not None]
         assert row["n"] == len(x)
         assert row["quantile"] == pytest.approx(np.quantile(x, row["prob"]), abs=1e-12)
+
+
+def test_numbers_take_one_exchange_and_even_tasks(spark, monkeypatch):
+    seen = []
+    real = global_order.materialize
+    monkeypatch.setattr(global_order, "materialize", lambda df: seen.append(df) or real(df))
+    # a third of all rows share one value
+    rows = spark.range(0, 200_000, 1, 16).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.xxhash64("id") % 1000).alias("v"))
+    out = global_order.number_globally(rows, "v", ["id"], partitions=64)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange ") == 1
+    sizes = [r[1] for r in seen[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * 200_000 / 64
+    got = out.agg(F.count("*"), F.min("row_no"), F.max("row_no"), F.countDistinct("row_no")).first()
+    assert tuple(got) == (200_000, 1, 200_000, 200_000)
+    wrong = out.alias("a").join(out.alias("b"), F.expr("a.row_no + 1 = b.row_no")).where("a.v < b.v or a.v = b.v and a.id > b.id")
+    assert wrong.count() == 0
