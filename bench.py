@@ -13,7 +13,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from millrace.plans.registry import ANALYTICS, registered  # noqa: E402
+from millrace.plans.registry import ANALYTICS, MODELS, registered  # noqa: E402
 from millrace.session import local_session  # noqa: E402
 
 HEADLINE = [
@@ -29,6 +29,7 @@ HEADLINE = [
     "residual_intervals",
     "category_leaderboard",
     "inventory_plan",
+    *MODELS,
 ]
 
 
