@@ -63,7 +63,7 @@ class Transducer:
 
     def __init__(
         self, tokens: list[bytes], left: list[int], right: list[int], pattern: str,
-        max_states: int = 100_000, max_words: int = 400_000, max_word: int = 64,
+        max_states: int = 60_000, max_words: int = 250_000, max_word: int = 64,
     ) -> None:
         self.tokens, self.left, self.right = tokens, left, right
         self.split = regex.compile(pattern)

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+SLICE = 1 << 22  # bytes of text in Python at once, besides the Arrow batch
 WORD = r"[^\x20\x09-\x0D]+"  # what the operators call a word
 
 
@@ -24,17 +28,20 @@ def map_texts(
 ) -> DataFrame:
     """``keys`` kept as they are, with what ``rows`` makes of each whole text.
 
-    ``rows`` gets the texts of one Arrow batch and returns one list per new
-    column. No shuffle: the work stays where the scan is.
+    ``rows`` gets some texts of an Arrow batch, about ``SLICE`` bytes of them
+    (a longer text comes alone), and returns one list per new column. No
+    shuffle: the work stays where the scan is.
     """
     narrow = df.select(*keys, whole_text(text).alias("_text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = rows(batch.column(len(keys)).to_pylist())
-            yield pa.RecordBatch.from_pydict(
-                {k: batch.column(i) for i, k in enumerate(keys)} | {k: v for k, v in made.items()}
-            )
+            sizes = pc.binary_length(batch.column(len(keys))).to_numpy()
+            parts = np.cumsum(sizes) // SLICE
+            for lo, hi in pairwise([0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), batch.num_rows]):
+                some = batch.slice(lo, hi - lo)
+                made = rows(some.column(len(keys)).to_pylist())
+                yield pa.RecordBatch.from_pydict({k: some.column(i) for i, k in enumerate(keys)} | made)
 
     return narrow.mapInArrow(run, f"{kept}, {schema}" if kept else schema)

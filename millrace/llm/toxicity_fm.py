@@ -144,7 +144,7 @@ def _only(place: dict[int, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return run
 
 
-def scorer(machine: Machine | None, remembered: int = 300_000) -> Callable[[list[str]], np.ndarray]:
+def scorer(machine: Machine | None, remembered: int = 200_000) -> Callable[[list[str]], np.ndarray]:
     """A function from texts to scores. A worker remembers the places of
     ``remembered`` words at most, then begins anew."""
     places: dict[str, tuple[int, ...]] = {}
