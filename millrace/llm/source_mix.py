@@ -96,7 +96,7 @@ def make_plan(sized: DataFrame, weights: tuple, repeats: int, block_words: int)
     edge = through.where("end > missing").groupBy("number").agg(
         F.min(F.struct("block", (F.col("missing") - F.col("end") + F.col("size")).alias("rest"))).alias("e")
     ).select("number", F.col("e.block").alias("edge"), F.col("e.rest").alias("rest"))
-    in_edge = placed.join(edge, "number").where("block = edge")
+    in_edge = placed.join(hint(edge, len(rows)), "number").where("block = edge")
     filled = in_edge.withColumn("end", F.sum("size").over(order.orderBy("place"))).where("end <= rest").groupBy("number").agg(
         F.max("place").alias("last_place"), F.max("end").alias("filled")
     )
@@ -104,7 +104,7 @@ def make_plan(sized: DataFrame, weights: tuple, repeats: int, block_words: int)
         "number", "edge", F.coalesce("last_place", F.lit(-1)).alias("last_place"),
         (F.col("rest") - F.coalesce("filled", F.lit(0))).alias("short"),
     )
-    free = placed.join(ends, "number").where("block > edge or block = edge and place > last_place")
+    free = placed.join(hint(ends, len(rows)), "number").where("block > edge or block = edge and place > last_place")
     gap = F.abs(F.col("size") - F.col("short"))
     extra = free.where(gap < F.col("short")).groupBy("number").agg(F.min(F.struct(gap.alias("gap"), "place")).alias("x")).select("number", F.col("x.place").alias("extra_place"))
     # One row per source, so the driver may hold it.
