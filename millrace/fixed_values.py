@@ -91,24 +91,3 @@ COVERAGE_NONE = "N/A"
 # published sentiment-scoring constants
 SENTIMENT_NORMALISER = 15
 SENTIMENT_NEGATION_FACTOR = -0.74
-
-# load: timestamp columns parsed leniently
-TIMESTAMP_COLUMNS = (
-    "order_purchase_timestamp",
-    "order_approved_at",
-    "order_delivered_carrier_date",
-    "order_delivered_customer_date",
-    "order_estimated_delivery_date",
-    "shipping_limit_date",
-    "review_creation_date",
-    "review_answer_timestamp",
-)
-
-# load: row floors
-ROW_FLOORS = {
-    "orders": 99_000,
-    "order_items": 110_000,
-    "customers": 95_000,
-    "sellers": 3_000,
-    "products": 32_000,
-}

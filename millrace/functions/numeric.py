@@ -40,7 +40,3 @@ def sum_when(condition: Column, value: Column) -> Column:
 def null_aware_greatest(floor: float, col: Column) -> Column:
     """GREATEST that stays NULL when the argument is NULL."""
     return F.when(col.isNotNull(), F.greatest(F.lit(floor), col))
-
-
-def nan_to_null(col: Column) -> Column:
-    return F.when(~F.isnan(col), col)

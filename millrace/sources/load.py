@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from millrace.sources.schemas import PRODUCTS, RAW_TABLES, TRANSLATION, TableSpec
 
-# file order: the file, then the row within it
-_FILE, _ROW = "_load_file", "_load_row"
+# file order: the file, the block of it that a task reads, then the row within
+_FILE, _BLOCK, _ROW = "_load_file", "_load_block", "_load_row"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -18,15 +18,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header row, quoted text with line breaks, optional BOM. Nothing is
-    inferred; a timestamp that cannot be parsed becomes NULL, not an error."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Header row, quoted text, optional BOM. Nothing is inferred; a timestamp
+    that cannot be parsed becomes NULL, not an error. Only ``multi_line`` allows
+    line breaks inside quotes; without it a large file is split over tasks."""
     times = {f.name for f in schema if isinstance(f.dataType, T.TimestampNTZType)}
     as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name in times else f.dataType) for f in schema])
     raw = (
         spark.read.schema(as_text)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .csv(path)
@@ -35,7 +36,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
-    return df.withColumns({_FILE: F.col("_metadata.file_path"), _ROW: F.monotonically_increasing_id()})
+    place = {_FILE: "_metadata.file_path", _BLOCK: "_metadata.file_block_start"}
+    return df.withColumns({**{k: F.col(v) for k, v in place.items()}, _ROW: F.monotonically_increasing_id()})
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -73,8 +75,8 @@ def load_table(
     """A clean table and its one-row status (table, loaded, status)."""
     if not path_exists(spark, path):
         return None, _status(spark, spec.name, 0, "MISSING")
-    ordered = with_file_order(read_csv(spark, path, spec.schema))
-    table = clean_table(ordered, spec, [_FILE, _ROW]).drop(_FILE, _ROW)
+    ordered = with_file_order(read_csv(spark, path, spec.schema, spec.multi_line))
+    table = clean_table(ordered, spec, [_FILE, _BLOCK, _ROW]).drop(_FILE, _BLOCK, _ROW)
     if spec.name == PRODUCTS.name:
         table = translate_categories(table, translation)
     status = table.agg(F.count("*").alias("loaded")).select(
@@ -90,21 +92,33 @@ def _status(spark: SparkSession, table: str, loaded: int, status: str) -> DataFr
 
 
 def load_all(
-    spark: SparkSession, folder: str, target: str | None = None, files: dict[str, str] | None = None
+    spark: SparkSession,
+    folder: str,
+    target: str | None = None,
+    files: dict[str, str] | None = None,
+    load_id: str | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """All raw tables of a folder, and the load summary.
 
     With ``target`` each table is appended there as Parquet and read back; a
-    table that fails is reported as ERROR and the others go on."""
+    load named by ``load_id`` replaces itself when it is run again. Rows are
+    counted while they are written (or, without a target, read through once),
+    so a table that fails is reported as ERROR and the others go on."""
     tables: dict[str, DataFrame] = {}
     statuses: list[DataFrame] = []
     for spec in RAW_TABLES:
         path = f"{folder}/{(files or {}).get(spec.name, spec.name + '.csv')}"
         try:
             table, status = load_table(spark, path, spec, tables.get(TRANSLATION.name))
-            if table is not None and target is not None:
-                append_table(table, f"{target}/{spec.name}", month_of=_month_column(table))
-                table = spark.read.parquet(f"{target}/{spec.name}")
+            if table is not None:
+                seen = Observation()
+                counted = table.observe(seen, F.count(F.lit(1)).alias("loaded"))
+                if target is None:
+                    counted.write.format("noop").mode("overwrite").save()
+                else:
+                    append_table(counted, f"{target}/{spec.name}", _month_column(table), load_id)
+                    table = spark.read.parquet(f"{target}/{spec.name}")
+                status = _status(spark, spec.name, seen.get["loaded"], "OK")
         except Exception:  # noqa: BLE001 - one bad file must not stop the load
             table, status = None, _status(spark, spec.name, 0, "ERROR")
         if table is not None:
@@ -126,14 +140,18 @@ def load_summary(statuses: Sequence[DataFrame]) -> DataFrame:
     return rows.unionByName(total)
 
 
-def append_table(df: DataFrame, path: str, month_of: str | None = None) -> None:
-    """Append as Parquet, by purchase month where there is one. The rebalance
-    hint evens out file sizes and lets AQE split a hot month."""
-    if month_of is None:
-        df.write.mode("append").parquet(path)
-        return
-    dated = df.withColumn("purchase_month", F.date_format(month_of, "yyyy-MM"))
-    dated.hint("rebalance", "purchase_month").write.mode("append").partitionBy("purchase_month").parquet(path)
+def append_table(df: DataFrame, path: str, month_of: str | None = None, load_id: str | None = None) -> None:
+    """Append as Parquet, by load where it is named and by purchase month where
+    there is one. A named load that is written again takes its own place. The
+    rebalance hint evens out file sizes and lets AQE split a hot month."""
+    folders = []
+    if month_of is not None:
+        df = df.withColumn("purchase_month", F.date_format(month_of, "yyyy-MM")).hint("rebalance", "purchase_month")
+        folders.append("purchase_month")
+    if load_id is None:
+        df.write.mode("append").partitionBy(*folders).parquet(path)
+    else:  # the whole load is replaced, months it no longer has included
+        df.write.mode("overwrite").partitionBy(*folders).parquet(f"{path}/load_id={load_id}")
 
 
 def read_jdbc(
@@ -172,9 +190,3 @@ def catalogue(tables: dict[str, DataFrame]) -> DataFrame:
         for name, df in sorted(tables.items())
     ]
     return reduce(DataFrame.unionByName, counts).orderBy("table_name")
-
-
-def catalogue_of(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """The same over the session catalogue."""
-    names = [t.name for t in spark.catalog.listTables(database)]
-    return catalogue({name: spark.table(f"{database}.{name}" if database else name) for name in names})

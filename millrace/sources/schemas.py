@@ -25,6 +25,7 @@ class TableSpec:
     schema: T.StructType
     key: tuple[str, ...] = ()
     distinct_on: tuple[str, ...] = ()
+    multi_line: bool = False  # quoted line breaks; such a file is read by one task
 
 
 CUSTOMERS = TableSpec(
@@ -130,6 +131,7 @@ REVIEWS = TableSpec(
         review_answer_timestamp=TIME,
     ),
     key=("review_id",),
+    multi_line=True,
 )
 RAW_TABLES = (CUSTOMERS, GEOLOCATION, SELLERS, TRANSLATION, PRODUCTS, ORDERS, ORDER_ITEMS, PAYMENTS, REVIEWS)
 

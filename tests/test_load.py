@@ -58,6 +58,14 @@ def test_append_by_month(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).filter("purchase_month = '2018-01'").count() == 2
 
 
+def test_a_named_load_replaces_itself(spark, tmp_path):
+    df = spark.sql("SELECT 'a' AS id, TIMESTAMP_NTZ '2018-01-05 00:00:00' AS t UNION ALL SELECT 'b', TIMESTAMP_NTZ '2018-02-05 00:00:00'")
+    for rows, name in ((df, "one"), (df, "two"), (df.filter("id = 'a'"), "one")):
+        load.append_table(rows, str(tmp_path / "t"), "t", name)
+    got = spark.read.parquet(str(tmp_path / "t")).select("id", "load_id").collect()
+    assert sorted(map(tuple, got)) == [("a", "one"), ("a", "two"), ("b", "two")]
+
+
 def test_quality_report(spark):
     parent = spark.createDataFrame([(1,), (2,)], "k int")
     child = spark.createDataFrame([(1, "x"), (1, None), (9, "x"), (9, "z"), (None, "q")], "k int, v string")
