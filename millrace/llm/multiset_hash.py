@@ -38,7 +38,7 @@ RUN = 3
 class Hasher:
     """Vectors of lists of paragraphs; remembers the hashes of ``remembered`` words at most."""
 
-    def __init__(self, remembered: int = 300_000) -> None:
+    def __init__(self, remembered: int = 200_000) -> None:
         self.known: dict[bytes, int] = {}
         self.remembered = remembered
 
@@ -137,7 +137,7 @@ def with_next(docs: DataFrame, key: str, text: str, ranges: int) -> DataFrame:
         .select(F.col("_before").alias("_range"), F.lit(True).alias("_guest"), "_id", "_text")
     )
     both = ranged.unionByName(guests)
-    return both.repartition(ranges, "_range").sortWithinPartitions("_range", "_guest", "_id", "_text")
+    return both.repartitionById(ranges, F.col("_range")).sortWithinPartitions("_range", "_guest", "_id", "_text")
 
 
 def compare_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
