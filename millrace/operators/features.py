@@ -309,6 +309,29 @@ def sequence_dataset(
     )
 
 
+def sequence_sums(sequences: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
+    """Every number of x and y in a few: for each column of x, and for y, the
+    sum over the days (``sum_``) and the sum of day number times value
+    (``turn_``), which changes with the order of the days."""
+
+    def added(days: Column) -> Column:
+        zeros = F.array(*[F.lit(0.0)] * len(columns))
+        return F.aggregate(days, zeros, lambda total, day: F.zip_with(total, day, lambda t, v: t + v))
+
+    turned = F.transform("x", lambda day, i: F.transform(day, lambda v: v * (i + 1)))
+    y = F.transform("y", lambda v: v.cast("double"))
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda t, v: t + v)
+    return sequences.select(
+        "category", "idx", "sale_date", "anchor", added(F.col("x")).alias("_sums"), added(turned).alias("_turns"),
+        total(y).alias("sum_y"), total(F.transform(y, lambda v, i: v * (i + 1))).alias("turn_y"),
+    ).select(
+        "category", "idx", "sale_date", "anchor",
+        *[F.col("_sums")[i].alias(f"sum_{c}") for i, c in enumerate(columns)],
+        *[F.col("_turns")[i].alias(f"turn_{c}") for i, c in enumerate(columns)],
+        "sum_y", "turn_y",
+    )
+
+
 def category_index(df: DataFrame) -> DataFrame:
     """(category, id): ids follow the sorted order of the names."""
     ordered = number_globally(df.select("category").distinct(), "category", [], descending=False)

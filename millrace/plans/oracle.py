@@ -692,6 +692,20 @@ def series() -> dict[str, str]:
             WHERE old IS NOT NULL AND y7 IS NOT NULL""",
         "r_features",
     )
+    names = [c.strip().lstrip("~") for c in FEATURE_LIST.split(",")]
+    back = ", ".join(f"SUM({c}) OVER b AS sum_{c}, SUM({c} * idx) OVER b AS by_idx_{c}" for c in names)
+    sums = ", ".join(f"{rnd(f'sum_{c}', 6)} AS sum_{c}, {rnd(f'by_idx_{c} - (idx - 30) * sum_{c}', 6)} AS turn_{c}" for c in names)
+    ahead = ", ".join(f"LEAD(units_sold, {i}) OVER w AS y{i}" for i in range(1, 8))
+    q["sequence_sums"] = with_roles(
+        f"""SELECT category, idx - 1 AS idx, sale_date, {dbl('units_sold')} AS anchor, {sums},
+                   {dbl(' + '.join(f'y{i}' for i in range(1, 8)))} AS sum_y, {dbl(' + '.join(f'{i} * y{i}' for i in range(1, 8)))} AS turn_y
+            FROM (SELECT *, {back}, {ahead} FROM (SELECT category, sale_date, {', '.join(f'{rnd(c, 6)} AS {c}' for c in names)},
+                             ROW_NUMBER() OVER (PARTITION BY category ORDER BY sale_date) AS idx FROM r_features)
+                  WINDOW w AS (PARTITION BY category ORDER BY sale_date),
+                         b AS (PARTITION BY category ORDER BY sale_date ROWS 29 PRECEDING))
+            WHERE idx >= 30 AND y7 IS NOT NULL""",
+        "r_features",
+    )
     q["category_index"] = with_roles(
         "SELECT category, CAST(ROW_NUMBER() OVER (ORDER BY category) - 1 AS INT) AS id FROM (SELECT DISTINCT category FROM r_daily)", "r_daily"
     )

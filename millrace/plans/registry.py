@@ -193,14 +193,16 @@ def _back_to_raw(d: DemandSeries) -> DataFrame:
 
 
 def _sequences(d: DemandSeries) -> DataFrame:
-    rows = features.sequence_dataset(d.features, columns=["units_sold", "lag_7"])
+    """Sequences over all features, by the values that the SQL names; ``sequence_sums`` has all of x and y."""
+    rows = features.sequence_dataset(d.features)
+    lag_7 = features.FEATURES.index("lag_7") + 1
     return rows.select(
         "category",
         "idx",
         "sale_date",
         "anchor",
         F.element_at(F.element_at("x", 1), 1).alias("oldest_units"),
-        F.element_at(F.element_at("x", 30), 2).alias("newest_lag_7"),
+        F.element_at(F.element_at("x", 30), lag_7).alias("newest_lag_7"),
         F.aggregate("x", F.lit(0.0), lambda total, day: total + F.element_at(day, 1)).alias("units_in_x"),
         F.element_at("y", 1).alias("y_first"),
         F.element_at("y", 7).alias("y_last"),
@@ -221,6 +223,8 @@ SERIES: dict[str, Callable[[DemandSeries], DataFrame]] = {
     ),
     "smooth_target": lambda d: features.smooth_target(d.features).select("category", "sale_date", "units_sold"),
     "sequence_dataset": _sequences,
+    # of features to six places: sums of them are multiples of a millionth, which no order of adding moves
+    "sequence_sums": lambda d: features.sequence_sums(features.sequence_dataset(rounded(d.features))),
     "category_index": lambda d: features.category_index(d.daily),
     "chronological_split": lambda d: backtest.chronological_split(
         features.horizon_targets(d.features), holdout=0.07
