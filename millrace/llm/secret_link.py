@@ -4,9 +4,8 @@ Base spans are reported by themselves: assignments to names of secrets,
 access identifiers and long hexadecimal strings. The method adds weak parts,
 none of which means much alone: an *ident* (user name or client id), a *blob*
 (a random-looking string) and an *endpoint* (a URL or host). Parts are
-intervals; a weak part is reported only if a complementary part begins or
-ends within ``REACH`` code points of it inside the same scope, a paragraph
-(text between blank lines):
+intervals; a weak part is reported only if a complementary part stands in the
+same scope, a paragraph (text between blank lines), however far from it:
 
 * an ident needs a secret (blob, assignment or hex);
 * a blob needs an ident, an access identifier or an endpoint;
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame
 
 from millrace.llm.texts import map_texts
 
-REACH = 200
+REACH = float("inf")  # code points to a partner: any number inside the scope
 # Kinds in the order in which they are listed.
 KINDS = ("assign", "access", "hex", "ident", "blob", "endpoint")
 
@@ -90,8 +89,8 @@ def weak_parts(text: str) -> list[Span]:
     return found + [("blob", *m.span()) for m in BLOB.finditer(text) if random_looking(m[0])]
 
 
-def linked(text: str, base: list[Span], weak: list[Span], reach: int = REACH) -> list[Span]:
-    """The weak parts that have what they need near them in their scope."""
+def linked(text: str, base: list[Span], weak: list[Span], reach: float = REACH) -> list[Span]:
+    """The weak parts that have what they need in their scope, at most ``reach`` code points away."""
     if not weak:
         return []
     covered = sorted((b, e) for _, b, e in base)

@@ -76,6 +76,15 @@ def test_weak_parts_need_each_other(text, kinds):
     assert {kind for kind, _, _ in S.scan(text)[1]} == kinds
 
 
+@pytest.mark.parametrize("between", [201, 300, 5_000, 100_000])
+def test_partners_far_apart_in_one_paragraph(between):
+    filler = ("some words " * (between // 11 + 1))[:between]
+    kinds = lambda text: {kind for kind, _, _ in S.scan(text)[1]}
+    assert kinds(f'{{"client_id": "acme-7", "about": "{filler}", "key": "{BLOB}"}}') == {"ident", "blob"}
+    assert kinds(f"https://example.com/a {filler} {BLOB} {filler} user: bob") == {"endpoint", "blob", "ident"}
+    assert kinds(f"client_id: acme-7\n{filler}\n\n{BLOB}") == set()
+
+
 def test_awkward_rows(awkward):
     got = S.scan_texts(awkward, ["doc_id"]).collect()
     assert len(got) == awkward.count() and all(r.n_assign == r.n_access == r.n_hex == 0 for r in got)
