@@ -3,7 +3,7 @@
 Each paragraph (line) is hashed to a wide vector, and a document's fingerprint
 is the sum of its paragraphs' vectors, lane by lane: ``EQUAL`` lanes modulo
 2^32 from an extendable-output hash of the paragraph, and ``LIKE`` lanes
-modulo 2^16 to which each run of three words adds one or minus one in a lane
+modulo 2^32 to which each run of three words adds one or minus one in a lane
 of its own. The sum does not depend on the order of paragraphs, and inserting
 or deleting a paragraph adds or subtracts its vector. The first lanes answer
 equality; the cosine of the second lanes estimates the share of word runs that
@@ -70,7 +70,7 @@ class Hasher:
         mixed = mixed[first != 0]
         lane = (mixed >> np.uint64(56)).astype(np.int64) % LIKE
         sign = 1.0 - 2.0 * ((mixed >> np.uint64(55)) & np.uint64(1)).astype(float)
-        like = np.bincount(lane, sign, LIKE).astype(np.int64).astype(np.uint16)
+        like = np.bincount(lane, sign, LIKE).astype(np.int64).astype(np.uint32)
         return equal, like
 
 
@@ -88,7 +88,7 @@ def packed(vector) -> str:
 
 def unpacked(fingerprint: str):
     data = base64.b64decode(fingerprint)
-    return np.frombuffer(data, "<u4", EQUAL), np.frombuffer(data, "<u2", LIKE, 4 * EQUAL)
+    return np.frombuffer(data, "<u4", EQUAL), np.frombuffer(data, "<u4", LIKE, 4 * EQUAL)
 
 
 def fingerprint(text: str, hasher: Hasher | None = None) -> str:
@@ -99,7 +99,7 @@ def likeness(a, b) -> float:
     """1 for equal multisets; else the cosine of the like lanes, 0 at least."""
     if np.array_equal(a[0], b[0]):
         return 1.0
-    x, y = a[1].view(np.int16).astype(float), b[1].view(np.int16).astype(float)
+    x, y = a[1].view(np.int32).astype(float), b[1].view(np.int32).astype(float)
     size = float(np.sqrt((x @ x) * (y @ y)))
     return min(1.0, max(0.0, float(x @ y) / size)) if size else 0.0
 

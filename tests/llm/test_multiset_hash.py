@@ -37,6 +37,20 @@ def test_likeness_follows_what_is_shared():
         assert abs(like - share) < 0.2
 
 
+@pytest.mark.parametrize("repeats", [1_000, 32_769, 100_000])
+def test_likeness_of_long_runs_of_one_word(repeats):
+    text, other = "a " * repeats, " ".join(f"w{i}" for i in range(repeats))
+    cut = M.replaced(text)
+    new = text[: len(text) - cut] + other[:cut]
+    assert M.likeness(M.unpacked(M.fingerprint(text)), M.unpacked(M.fingerprint(new))) > 0.9
+
+
+def test_next_document_of_a_long_run(make):
+    text, other = "a " * 100_000, " ".join(f"w{i}" for i in range(100_000))
+    rows = {r.doc_id: r for r in M.compare_edits(make([(1, text, "a"), (2, other, "a")]), ranges=1).collect()}
+    assert rows[1].near_edited > 0.9
+
+
 def brute(rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     out = []
