@@ -41,7 +41,6 @@ from millrace.session import materialize
 BUCKETS = 1 << 15
 TEXT_WEIGHT = 0.2
 STRENGTH = 4.0
-MOST_LANGUAGES = 200
 
 HIDDEN = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->")
 TAG = re.compile(r"(?s)<[^>]*>")
@@ -81,15 +80,15 @@ def addressed(url: Column, languages: list[str]) -> Column:
 
 
 def fit(docs: DataFrame, language: str = "lang", key: str = "doc_id", text: str = "text", fit_rows: int = 500) -> tuple[list[str], np.ndarray]:
-    """The languages, and log P(trigram | language) as an array. Counts are
-    summed as a table of at most ``BUCKETS`` rows per language."""
-    sizes = {r[0]: r[1] for r in docs.where(F.col(language).isNotNull()).groupBy(language).count().orderBy(F.desc("count")).limit(MOST_LANGUAGES).collect()}
+    """All labelled languages, and log P(trigram | language) as an array. Counts
+    are summed as a table of at most ``BUCKETS`` rows per language; the array
+    takes a quarter of a MB a language on the driver and in each worker."""
+    sizes = {r[0]: r[1] for r in docs.where(F.col(language).isNotNull()).groupBy(language).count().collect()}
     languages = sorted(sizes)
     if not languages:
         return [], np.zeros((0, BUCKETS))
-    share = F.lit(None).cast("double")
-    for name, size in sizes.items():
-        share = F.when(F.col(language) == name, F.lit(min(1.0, fit_rows / size))).otherwise(share)
+    names, shares = F.lit(languages), F.lit([min(1.0, fit_rows / sizes[name]) for name in languages])
+    share = F.try_element_at(F.map_from_arrays(names, shares), F.col(language))
     drawn = docs.where(F.pmod(F.xxhash64(key, F.lit(11)), F.lit(1 << 20)) < share * (1 << 20)).select(F.col(language).alias("lang"), whole_text(text).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,8 +119,8 @@ def softmax(logs: Column, count: int) -> Column:
 def named(name: str, agreed: float, count: int, languages: list[str]) -> Column:
     """Log-likelihoods of a named language, believed with probability ``agreed``."""
     other = math.log(max(1e-6, (1 - agreed) / max(1, count - 1)))
-    vector = F.array(*[F.when(F.col(name) == l, math.log(agreed)).otherwise(other) for l in languages])
-    return F.when(F.col(name).isin(languages), vector).otherwise(F.array(*[F.lit(0.0)] * count))
+    vector = F.transform(F.lit(languages), lambda l: F.when(F.col(name) == l, math.log(agreed)).otherwise(other))
+    return F.when(F.col(name).isin(languages), vector).otherwise(F.array_repeat(F.lit(0.0), count))
 
 
 def identify(pages: DataFrame, docs: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:

@@ -59,6 +59,19 @@ def test_posterior_against_plain_arithmetic(spark, docs):
         assert got[i].lang == languages[int(want.argmax())] and got[i].probability == pytest.approx(want.max(), rel=1e-6)
 
 
+def test_no_language_is_left_out(spark, make):
+    """More labels than two letters give, the last one in one document only."""
+    from pyspark.sql import functions as F
+
+    names = [f"{a}{b}-X{c}" for a in "abcdefg" for b in "hijklm" for c in "pqrstu"]
+    rows = [(i, f"{name}word common {name}text", name) for i, name in enumerate(names * 2)] + [(999, "zzword zztext rare", "zz")]
+    docs = make(rows).withColumn("lang", F.col("source"))
+    languages, table = L.fit(docs)
+    assert languages == sorted([*names, "zz"]) and table.shape == (253, L.BUCKETS)
+    got = identify(spark, docs, [(1, "http://a.test/x", page("zzword zztext rare " * 5)), (2, "http://b.test/zz/", page(""))])
+    assert (got[1].lang, got[1].text_lang, got[2].address, got[2].lang) == ("zz", "zz", "zz", "zz")
+
+
 def test_repeated_rows_and_empty_tables(spark, docs, make):
     row = (1, "http://a.test/", page(text("en", 9, 1)))
     pages = spark.createDataFrame([(*row, None, None)] * 3, PAGES)
