@@ -1,7 +1,7 @@
 """From raw documents to token ids, in five stages.
 
 Each stage works on all its predecessor kept and returns rows of documents;
-the last returns token ids. ``run`` writes what each stage returns as Parquet
+the last returns token ids and the digest of what they decode to. ``run`` writes what each stage returns as Parquet
 below the shared checkpoint folder and reads it again, so a lost executor
 costs no more than the stage it was lost in.
 """
@@ -42,7 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text (packed unsigned 32-bit integers)."""
+    """Token ids of each text (packed unsigned 32-bit integers), and the digest of the text they decode to."""
     return bpe_fst.encode_texts(docs, queries.RANKS, queries.PATTERN, ["doc_id", "source"])
 
 

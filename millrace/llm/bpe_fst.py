@@ -319,15 +319,25 @@ def shared(spark: SparkSession, ranks_path: str, pattern: str):
 
 
 def encode_texts(df: DataFrame, ranks_path: str, pattern: str, keys: list[str], text: str = "text") -> DataFrame:
-    """``keys``, ``n_tokens`` and ``ids`` (packed little-endian unsigned 32-bit integers) of each whole text."""
+    """``keys``, ``n_tokens``, ``ids`` (packed little-endian unsigned 32-bit
+    integers) and ``decoded_sha256`` of each whole text: the digest of what its
+    ids, decoded as a stream, give back."""
     here = shared(df.sparkSession, ranks_path, pattern)
 
     def rows(texts: list[str]) -> dict[str, list]:
         machine = here()
-        ids = [b"".join(machine.encode(t)) for t in texts]
-        return {"n_tokens": [len(x) // 4 for x in ids], "ids": ids}
+        out: dict[str, list] = {"n_tokens": [], "ids": [], "decoded_sha256": []}
+        for t in texts:
+            packed = b"".join(machine.encode(t))
+            decoded = hashlib.sha256()
+            for piece in machine.decode([packed]):
+                decoded.update(piece.encode())
+            out["n_tokens"].append(len(packed) // 4)
+            out["ids"].append(packed)
+            out["decoded_sha256"].append(decoded.hexdigest())
+        return out
 
-    return map_texts(df, keys, text, rows, "n_tokens long, ids binary")
+    return map_texts(df, keys, text, rows, "n_tokens long, ids binary, decoded_sha256 string")
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, keys: list[str], text: str = "text") -> DataFrame:

@@ -85,6 +85,13 @@ def test_pipeline_of_an_empty_table(spark, awkward, small):
         assert (step.count() > 0) == (some.count() > 0)
 
 
+def test_last_stage_decodes_its_ids(spark, awkward):
+    docs = awkward.select("doc_id", "text", "lang", "source", "n_chars")
+    rows = corpus_pipeline.encode(spark, docs, "").collect()
+    want = sorted(hashlib.sha256((r.text or "").encode()).hexdigest() for r in docs.collect())
+    assert sorted(r.decoded_sha256 for r in rows) == want
+
+
 def test_digest_is_of_the_whole_text(spark, make):
     text = "a" * 3_000_000 + "b"
     (r,) = exact_dedup.groups(make([(1, text, "a")])).select(F.lower(F.hex("digest")).alias("d")).collect()
