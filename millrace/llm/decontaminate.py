@@ -48,10 +48,12 @@ RUNS = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructF
 
 def powers(base: int) -> tuple[np.ndarray, np.ndarray]:
     """base^i and base^(STEP * i) modulo 2^64."""
-    return tuple(
-        np.cumprod(np.concatenate([[1], np.full(STEP - 1, pow(base, each, 1 << 64), np.uint64)]).astype(np.uint64), dtype=np.uint64)
-        for each in (1, STEP)
-    )
+    out = []
+    for each in (1, STEP):
+        factors = np.full(STEP, pow(base, each, 1 << 64), np.uint64)
+        factors[0] = 1
+        out.append(np.cumprod(factors, dtype=np.uint64))
+    return out[0], out[1]
 
 
 UP, DOWN = powers(BASE), powers(pow(BASE, -1, 1 << 64))

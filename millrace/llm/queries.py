@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import (
-    bpe_fst, chat_format, exact_dedup, language_fusion, multiset_hash, secret_link, simhash_anchor, source_mix, toxicity_fm, url_automaton,
+    bpe_fst, chat_format, decontaminate, exact_dedup, language_fusion, multiset_hash, secret_link, simhash_anchor, source_mix, toxicity_fm, url_automaton,
 )
 from millrace.llm.texts import whole_text, word_count
 from millrace.session import materialize
@@ -102,6 +102,20 @@ def op10_bpe_fst(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_fst.round_trip(table(spark, folder, "documents"), RANKS, PATTERN, ["doc_id"])
 
 
+def op11_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.scan(docs, table(spark, folder, "benchmark"))
+    hit = F.aggregate("runs", F.lit(0).cast("long"), lambda n, run: n + run["end"] - run["first"])
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("runs") > 0).alias("contaminated"),
+    )
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_toxicity_fm": op1_toxicity_fm,
@@ -114,6 +128,7 @@ def registered() -> dict[str, Query]:
         "op8_language_fusion": op8_language_fusion,
         "op9_url_automaton": op9_url_automaton,
         "op10_bpe_fst": op10_bpe_fst,
+        "op11_decontaminate": op11_decontaminate,
     }
 
 
@@ -165,9 +180,39 @@ FROM globbed
 """
 
 
+DECONTAMINATE_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+item AS (
+  SELECT row_number() OVER () AS r, coalesce(item_id::VARCHAR, '') AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+item_words AS (SELECT r, item_id, least(len(words), 10) AS l, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM item),
+item_runs AS (
+  SELECT item_id, l, list(word) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS run FROM item_words),
+windows AS (SELECT DISTINCT item_id, l, array_to_string(run[1:l], ' ') AS run FROM item_runs WHERE len(run) >= l),
+doc_words AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM doc),
+doc_runs AS (
+  SELECT r, i, list(word) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS run FROM doc_words),
+found AS (
+  SELECT d.r, d.i, w.l, w.item_id
+  FROM (SELECT r, i, lengths.l, array_to_string(run[1:lengths.l], ' ') AS run
+        FROM doc_runs JOIN (SELECT DISTINCT l FROM windows) AS lengths ON len(doc_runs.run) >= lengths.l) AS d
+  JOIN windows AS w ON w.l = d.l AND w.run = d.run),
+hits AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + l)) AS i FROM found) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id FROM found) GROUP BY r)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+"""
+
+
 def oracle() -> dict[str, str]:
     return {
         "op5_exact_dedup": EXACT_DEDUP_SQL,
         "op6_chat_format": CHAT_FORMAT_SQL,
         "op9_url_automaton": URL_AUTOMATON_SQL,
+        "op11_decontaminate": DECONTAMINATE_SQL,
     }
