@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import (
-    bpe_fst, chat_format, decontaminate, exact_dedup, language_fusion, multiset_hash, secret_link, simhash_anchor, source_mix, toxicity_fm, url_automaton,
+    auction_repair, bpe_fst, chat_format, decontaminate, exact_dedup, language_fusion, multiset_hash, secret_link, simhash_anchor, source_mix, toxicity_fm, url_automaton,
 )
 from millrace.llm.texts import whole_text, word_count
 from millrace.session import materialize
@@ -116,6 +116,16 @@ def op11_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_auction_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    damaged = auction_repair.damage(turns)
+    spoken = F.transform("turns", lambda t: F.concat_ws(":", t["role"], t["text"]))
+    return auction_repair.repair(damaged, F.col("times")).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.sha2(F.array_join(spoken, "\n"), 256).alias("repaired_sha256"),
+    )
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_toxicity_fm": op1_toxicity_fm,
@@ -129,6 +139,7 @@ def registered() -> dict[str, Query]:
         "op9_url_automaton": op9_url_automaton,
         "op10_bpe_fst": op10_bpe_fst,
         "op11_decontaminate": op11_decontaminate,
+        "op13_auction_repair": op13_auction_repair,
     }
 
 
@@ -209,10 +220,80 @@ FROM doc LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
 """
 
 
+def _step(state: str, cost: str, letter: str, said: str = "''") -> str:
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'w': {state}.w || '{letter}', 'r': {state}.r || {said}}} END"
+
+
+def _least(*steps: str) -> str:
+    return f"list_min([x FOR x IN [{', '.join(steps)}] IF x IS NOT NULL])"
+
+
+def _spoken(state: str, initial: str, role: str) -> str:
+    """Keeping or reroling the row into ``role`` after ``state``."""
+    return (f"CASE WHEN NOT must AND initial = '{initial}' THEN {_step(state, 'more', 'K', 'line')} "
+            f"WHEN NOT must THEN {_step(state, '1 + more', 'R', f"chr(10) || '{role}:' || text")} END")
+
+
+def _inserted(state: str, role: str) -> str:
+    return _step(state, "5", "I", f"chr(10) || '{role}:'")
+
+
+# The four states (z: nothing said, s, u, a: whose turn was last) after each row, each with its cheapest edits.
+AUCTION_REPAIR_SQL = rf"""
+WITH RECURSIVE source AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+bytes AS (SELECT DISTINCT name, [ascii(c) FOR c IN string_split(name, '')] AS b FROM source),
+crc AS (
+  SELECT name, xor(list_reduce(list_prepend(4294967295::BIGINT, [x::BIGINT FOR x IN b]), lambda h, x:
+           list_reduce([xor(h, x), 1, 2, 3, 4, 5, 6, 7, 8], lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)),
+         4294967295) % 20 AS kind FROM bytes),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM source JOIN crc USING (name)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+judged AS (
+  SELECT *, left(role, 1) AS initial, lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS following, chr(10) || role || ':' || text AS line,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE '' END AS fault FROM placed),
+rows AS (SELECT *, fault IN ('blank', 'duplicate') AS must, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS more FROM judged),
+spoken AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'w': '', 'r': ''}} AS z, NULL::STRUCT(c BIGINT, w VARCHAR, r VARCHAR) AS s,
+         {{'c': 5::BIGINT, 'w': 'I', 'r': chr(10) || 'user:'}} AS u, {{'c': 10::BIGINT, 'w': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS a
+  FROM conversations),
+walk AS (
+  FROM spoken
+  UNION ALL
+  SELECT conv_id, i, z, s, u, {_least('a', _inserted('u', 'assistant'))} AS a
+  FROM (SELECT conv_id, i, z, s, {_least('u', _inserted('z', 'user'), _inserted('s', 'user'), _inserted('a', 'user'))} AS u, a
+    FROM (
+      SELECT walk.conv_id, rows.i, {_step('z', '2', 'D')} AS z,
+             {_least(_step('s', '2', 'D'), f"CASE WHEN NOT must AND initial = 's' THEN {_step('z', 'more', 'K', 'line')} END")} AS s,
+             {_least(_step('u', '2', 'D'), *(_spoken(q, 'u', 'user') for q in 'zsa'))} AS u,
+             {_least(_step('a', '2', 'D'), _spoken('u', 'a', 'assistant'))} AS a
+      FROM walk JOIN rows ON rows.conv_id IS NOT DISTINCT FROM walk.conv_id AND rows.i = walk.i + 1))),
+last AS (SELECT conv_id, {_least('z', 'a')} AS best FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (following IS NOT NULL AND initial || following NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY conv_id)
+SELECT last.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.w AS audit, sha256(substr(best.r, 2)) AS repaired_sha256
+FROM last LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM last.conv_id
+"""
+
+
 def oracle() -> dict[str, str]:
     return {
         "op5_exact_dedup": EXACT_DEDUP_SQL,
         "op6_chat_format": CHAT_FORMAT_SQL,
         "op9_url_automaton": URL_AUTOMATON_SQL,
         "op11_decontaminate": DECONTAMINATE_SQL,
+        "op13_auction_repair": AUCTION_REPAIR_SQL,
     }
