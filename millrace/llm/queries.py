@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import (
-    auction_repair, bpe_fst, chat_format, decontaminate, exact_dedup, language_fusion, multiset_hash, secret_link, simhash_anchor, source_mix, toxicity_fm, url_automaton,
+    auction_repair, bpe_fst, chat_format, decontaminate, exact_dedup, hilbert_negatives, language_fusion, multiset_hash, secret_link, simhash_anchor, source_mix, toxicity_fm, url_automaton,
 )
 from millrace.llm.texts import whole_text, word_count
 from millrace.session import materialize
@@ -116,6 +116,12 @@ def op11_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_hilbert_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    mislabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hilbert_negatives.mine(rows.withColumn("label", mislabelled), F.col("vec_id") % 50 == 0)
+
+
 def op13_auction_repair(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     damaged = auction_repair.damage(turns)
@@ -139,6 +145,7 @@ def registered() -> dict[str, Query]:
         "op9_url_automaton": op9_url_automaton,
         "op10_bpe_fst": op10_bpe_fst,
         "op11_decontaminate": op11_decontaminate,
+        "op12_hilbert_negatives": op12_hilbert_negatives,
         "op13_auction_repair": op13_auction_repair,
     }
 
@@ -220,6 +227,23 @@ FROM doc LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
 """
 
 
+HILBERT_NEGATIVES_SQL = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM usable AS a JOIN usable AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positive AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INT AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive AS p JOIN scored AS n ON n.anchor_id = p.anchor_id AND NOT n.same AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
 def _step(state: str, cost: str, letter: str, said: str = "''") -> str:
     return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'w': {state}.w || '{letter}', 'r': {state}.r || {said}}} END"
 
@@ -295,5 +319,6 @@ def oracle() -> dict[str, str]:
         "op6_chat_format": CHAT_FORMAT_SQL,
         "op9_url_automaton": URL_AUTOMATON_SQL,
         "op11_decontaminate": DECONTAMINATE_SQL,
+        "op12_hilbert_negatives": HILBERT_NEGATIVES_SQL,
         "op13_auction_repair": AUCTION_REPAIR_SQL,
     }
