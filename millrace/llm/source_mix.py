@@ -6,8 +6,9 @@
    its source, and places are cut into blocks of about ``block_words`` words.
    A source gives all its blocks as often as they fit the target whole, and
    then the first blocks of its order. In the block where the target is
-   reached, documents are taken in order while they fit, and the document
-   whose size comes nearest to what is missing completes it. Documents are
+   reached, documents are taken in order while they fit; past the first that
+   does not, every later one that still fits is taken, in order, and the document
+   whose size comes nearest to what is missing then completes it. Documents are
    taken whole.
 3. *Tree*: the number of blocks of each source is an exact quota. Each node of
    a binary tree over the output shards draws its left child's blocks from its
@@ -20,7 +21,8 @@ Every draw depends on ``seed`` and on what it is drawn for, so reruns agree.
 Defined results: a null text has no words; a null source is a source, the last
 one; documents without words are taken when their block is, with 0 words;
 an empty table gives an empty mix; repeated rows are taken each, as one place.
-The driver holds one row per source, never one per document.
+The driver holds one row per source, with the places of documents taken past the
+one that did not fit: together they have fewer words than that one.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ WEIGHTS = (1, 2, 3)
 REPEATS = 3
 MAX_BLOCKS = 1 << 16  # of a source; more words make larger blocks
 MOST_SOURCES = 100_000  # with more, the plan is joined without a broadcast
+MOST_DRAWN = 1 << 29  # blocks in one hypergeometric draw; numpy's limit is 10^9
 LEVELS = 6  # of the tree in one task
 
 
@@ -52,10 +55,11 @@ def fair_targets(sizes: list[int], weights: list[float], repeats: float = REPEAT
             for i in open_:
                 out[i] = each * weights[i]
             break
+        full = set(over)
         for i in over:
             out[i] = float(repeats * sizes[i])
             left -= out[i]
-        open_ = [i for i in open_ if i not in set(over)]
+        open_ = [i for i in open_ if i not in full]
     return out
 
 
@@ -72,6 +76,30 @@ def hint(plan: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(plan) if rows <= MOST_SOURCES else plan
 
 
+def fit(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of one source's candidates, by block and place, those that fit into what is short, one after the other."""
+    left, places = int(rows["short"].iloc[0]), []
+    for (_, at), size in rows.groupby(["block", "place"])["size"].sum().items():
+        if size <= left:
+            left -= size
+            places.append(at)
+    return pd.DataFrame({"number": rows["number"].iloc[:1], "places": [places], "short": [left]})
+
+
+def fitting(free: DataFrame, sources: int) -> DataFrame:
+    """``number``, ``places`` and what is ``short`` then. Candidates come from as
+    many blocks as hold what is short, so a task gets little more than that and one block."""
+    small = free.where("size > 0 and size <= short")
+    through = small.groupBy("number", "block").agg(F.sum("size").alias("size"), F.first("short").alias("short")).withColumn(
+        "before", F.sum("size").over(Window.partitionBy("number").orderBy("block")) - F.col("size")
+    )
+    last = through.where("before < short").groupBy("number").agg(F.max("block").alias("last_block"))
+    near = small.join(hint(last, sources), "number").where("block <= last_block")
+    return near.select("number", "block", "place", "size", "short").groupBy("number").applyInPandas(
+        fit, "number int, places array<long>, short long"
+    )
+
+
 def make_plan(sized: DataFrame, weights: tuple, repeats: int, block_words: int) -> tuple[DataFrame, int]:
     """One row per source: target, blocks, passes, and where the last pass ends.
     ``sized`` has source, size and place of each document."""
@@ -105,31 +133,52 @@ def make_plan(sized: DataFrame, weights: tuple, repeats: int, block_words: int)
         (F.col("rest") - F.coalesce("filled", F.lit(0))).alias("short"),
     )
     free = placed.join(hint(ends, len(rows)), "number").where("block > edge or block = edge and place > last_place")
+    none = F.array().cast("array<long>")
+    fitted = materialize(ends.join(fitting(free, len(rows)).withColumnRenamed("short", "left"), "number", "left").select(
+        "number", "edge", "last_place", F.coalesce("left", "short").alias("short"), F.coalesce("places", none).alias("places")
+    ))
+    open_ = free.select("number", "place", "size").join(hint(fitted, len(rows)), "number").where(~F.array_contains("places", F.col("place")))
     gap = F.abs(F.col("size") - F.col("short"))
-    extra = free.where(gap < F.col("short")).groupBy("number").agg(F.min(F.struct(gap.alias("gap"), "place")).alias("x")).select("number", F.col("x.place").alias("extra_place"))
+    extra = open_.where(gap < F.col("short")).groupBy("number").agg(F.min(F.struct(gap.alias("gap"), "place")).alias("x")).select(
+        "number", F.array("x.place").alias("nearest")
+    )
+    fitted = fitted.join(extra, "number", "left").withColumn("places", F.concat("places", F.coalesce("nearest", none)))
     # One row per source, so the driver may hold it.
-    tail = {r.number: r for r in ends.join(extra, "number", "left").collect()}
+    tail = {r.number: r for r in fitted.collect()}
     plan = []
     for number, source, size, target, count, passes, missing in rows:
         t = tail.get(number)
         edge_block = (t.edge if t else count) if missing > 0 else -1
         plan.append((
             number, source, size, target, count, passes, edge_block, t.last_place if t and missing > 0 else -1,
-            t.extra_place if t and missing > 0 and t.extra_place is not None else -1,
+            t.places if t and missing > 0 else [],
             passes * count + min(edge_block + 1, count),
         ))
     return spark.createDataFrame(
         plan, f"number int, source {kind}, source_size long, target double, blocks long, passes int, "
-        "edge long, last_place long, extra_place long, quota long"
+        "edge long, last_place long, places array<long>, quota long"
     ), len(plan)
 
 
 def copies(where: Column, block: Column, plan: Column) -> Column:
     """How often the mix takes a document, given its source's plan."""
-    drawn = (block < plan["edge"]) | (block == plan["edge"]) & (where <= plan["last_place"]) | (where == plan["extra_place"])
+    drawn = (block < plan["edge"]) | (block == plan["edge"]) & (where <= plan["last_place"]) | F.array_contains(plan["places"], where)
     return F.least(plan["passes"] + F.when(drawn, 1).otherwise(0), F.lit(REPEATS))
 
 
+def halve(quota: np.ndarray, random: np.random.Generator, most: int = MOST_DRAWN) -> np.ndarray:
+    """Half of the blocks (rounded down), drawn without replacement. More than
+    ``most`` are dealt evenly to parts first, each of which is drawn from."""
+    parts = 1 + int(quota.sum()) // most
+    taken, left, through = 0, np.zeros_like(quota), 0
+    for part in range(parts):
+        own = quota // parts + (part < quota % parts)
+        through += int(own.sum())
+        left += random.multivariate_hypergeometric(own, through // 2 - taken, method="marginals")
+        taken = through // 2
+    return left
+
+
 def splitter(begun: int, levels: int, seed: int):
     """A function that splits the rows of one node at level ``begun`` by ``levels`` levels."""
 
@@ -140,7 +189,7 @@ def splitter(begun: int, levels: int, seed: int):
             below = {}
             for node, quota in level.items():
                 random = np.random.default_rng([seed, at, node])
-                left = random.multivariate_hypergeometric(quota, int(quota.sum()) // 2, method="marginals")
+                left = halve(quota, random)
                 below[2 * node], below[2 * node + 1] = left, quota - left
             level = below
         return pd.concat([pd.DataFrame({"node": n, "number": numbers, "quota": q})[q > 0] for n, q in level.items()])

@@ -83,3 +83,38 @@ def test_awkward_rows(awkward):
 def test_empty_table(make):
     plan, mixed = S.mix(make([]))
     assert plan.collect() == [] and S.shuffled(mixed).collect() == []
+
+
+def test_documents_past_one_that_does_not_fit(spark, make):
+    sizes = [5000, 40, 300, 7, 90, 1, 650, 20, 3000]
+    docs = make([(i, "w " * n, "a") for i, n in enumerate(sizes)] + [(100 + i, "w " * 100, "b") for i in range(300)])
+    for seed in range(4):
+        plan, mixed = S.mix(docs, weights=(1, 19), seed=seed)
+        times = Counter(r.doc_id for r in mixed.collect())
+        assert max(times.values()) <= S.REPEATS
+        for r in plan.where("source = 'a'").collect():
+            left = [n for i, n in enumerate(sizes) if times[i] < S.REPEATS and times[i] == min(times[j] for j in range(len(sizes)))]
+            taken = sum(n * times[i] for i, n in enumerate(sizes))
+            assert abs(taken - r.target) <= max(0.01 * r.target, min(left)), (seed, r, taken)
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_registered_query_meets_its_targets(spark, folder):
+    from millrace.llm import queries
+
+    rows = queries.op3_source_mix(spark, f"/root/testdata/{folder}").select("doc_id", "size", "source_size", "target", "taken").toPandas()
+    assert (rows["taken"] <= 3 * rows["size"]).all()
+    for (_, target), some in rows.groupby(["source_size", "target"]):
+        worded = some[some["size"] > 0]
+        times = worded["taken"] // worded["size"]
+        left = worded.loc[(times < 3) & (times == times.min()), "size"]  # not taken in the source's last pass
+        assert abs(some["taken"].sum() - target) <= max(0.01 * target, left.min() if len(left) else 0)
+
+
+def test_draws_beyond_the_limit_of_numpy():
+    quota, random = np.array([2_000_000_001, 3, 700_000_000]), np.random.default_rng(1)
+    left = S.halve(quota, random)
+    assert left.sum() == quota.sum() // 2 and (left >= 0).all() and (left <= quota).all()
+    assert abs(left[0] / quota[0] - 0.5) < 0.001
+    small = S.halve(np.array([9, 1, 0, 5]), np.random.default_rng(2), most=4)
+    assert small.sum() == 7 and (small <= [9, 1, 0, 5]).all()
