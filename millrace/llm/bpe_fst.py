@@ -9,7 +9,9 @@ token may have begun, and each byte read gives the one token that would be the
 last if the input ended there. Such a place dies when no token continues it,
 so a border is settled after less bytes than the longest token has, and the
 tokens before the last settled border are emitted. States are made on first
-use and forgotten together when there are more than ``max_states``.
+use. What a machine remembers is counted in bytes: half of ``max_bytes`` for
+states, moves and pairs, forgotten together; half for the ids of words met, of
+which those not met again for a while go. All of it goes when a task ends.
 
 Defined results: null counts as the empty text (no ids); an empty table gives
 an empty result; repeated rows are encoded each; very long matches run
@@ -63,29 +65,27 @@ class Transducer:
 
     def __init__(
         self, tokens: list[bytes], left: list[int], right: list[int], pattern: str,
-        max_states: int = 60_000, max_words: int = 250_000, max_word: int = 64,
+        max_bytes: int = 96 << 20, max_word: int = 64,
     ) -> None:
         self.tokens, self.left, self.right = tokens, left, right
         self.split = regex.compile(pattern)
         self.rank = {t: i for i, t in enumerate(tokens) if t}
-        self.max_states, self.max_words, self.max_word = max_states, max_words, max_word
-        self.children: list[dict[int, int]] = [{}]
-        self.ends: list[int] = [-1]
-        self.depth: list[int] = [0]
+        self.max_bytes, self.max_word = max_bytes, max_word
         self.length = [len(t) for t in tokens]
+        self.child: dict[int, int] = {}  # by 256 * node + byte
+        self.ends, self.depth, self.inner = array("i", [-1]), array("i", [0]), bytearray(1)
         for token, own in self.rank.items():
             node = ROOT
             for byte in token:
-                into = self.children[node]
-                if byte not in into:
-                    into[byte] = len(self.children)
-                    self.children.append({})
+                key = node << 8 | byte
+                if key not in self.child:
+                    self.inner[node] = 1
+                    self.child[key] = len(self.ends)
                     self.ends.append(-1)
                     self.depth.append(self.depth[node] + 1)
-                node = into[byte]
+                    self.inner.append(0)
+                node = self.child[key]
             self.ends[node] = own
-        self.spines: dict[int, tuple[list, list]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
         self.words = Words(self)
         self.plain_split, self.not_plain = plain_twin(pattern)
         self.forget()
@@ -106,13 +106,14 @@ class Transducer:
                     piece, absorbed = side[piece], piece
                 both.append(pieces[::-1])
             self.spines[token] = (both[0], both[1])
+            self.used += 250 + 70 * (len(both[0]) + len(both[1]))
         return self.spines[token]
 
     def may_follow(self, first: int, second: int) -> bool:
         """Whether BPE over both tokens' bytes leaves just these two tokens:
         at no time does a merge across the border come before the merge that
         absorbs either piece next to the border."""
-        key = (first, second)
+        key = first << 32 | second
         known = self.pairs.get(key)
         if known is None:
             ends, starts = self.spine(first)[0], self.spine(second)[1]
@@ -130,72 +131,98 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-            if len(self.pairs) > 4 * self.max_states:
-                self.pairs.clear()
             self.pairs[key] = known
+            self.used += 80
         return known
 
     # --- the determinised machine -------------------------------------------
 
     def forget(self) -> None:
+        self.spines: dict[int, tuple[list, list]] = {}
+        self.pairs: dict[int, bool] = {}  # by 2**32 * first + second
         self.numbers: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        self.moves: dict[int, tuple[int, int]] = {}  # by 256 * state + byte
+        self.moves: dict[int, int] = {}  # by state + byte; states count in steps of 256
+        self.used = 0  # bytes, about
         self.start = self.number((-1, ROOT))
 
+    def empty(self) -> None:
+        """Nothing is remembered but the compiled tables."""
+        self.forget()
+        self.words.forget()
+
     def number(self, state: tuple) -> int:
-        known = self.numbers.setdefault(state, len(self.states))
-        if known == len(self.states):
+        known = self.numbers.setdefault(state, len(self.states) << 8)
+        if known == len(self.states) << 8:
             self.states.append(state)
+            self.used += 180 + 8 * len(state)
         return known
 
-    def move(self, state: int, byte: int) -> tuple[int, int]:
-        """The next state (times 256) and the last token of what has been read by then.
+    def move(self, state: int, byte: int) -> int:
+        """The next state. Its last pair begins with the last token of what has been read by then.
 
         A state lists, for each place where a token may have begun, the token
         before that place and the trie node reached since."""
-        children, ends, pairs = self.children, self.ends, self.pairs
+        child, ends, inner, pairs = self.child, self.ends, self.inner, self.pairs
         alive, ended = [], -1
         here = iter(self.states[state >> 8])
         for last, node in zip(here, here):
-            child = children[node].get(byte)
-            if child is None:
+            into = child.get(node << 8 | byte)
+            if into is None:
                 continue
             if ended < 0:
-                token = ends[child]
+                token = ends[into]
                 if token >= 0:
-                    fits = last < 0 or pairs.get((last, token))
+                    fits = last < 0 or pairs.get(last << 32 | token)
                     if fits or fits is None and self.may_follow(last, token):
                         ended = token
-            if children[child]:
+            if inner[into]:
                 alive.append(last)
-                alive.append(child)
+                alive.append(into)
         alive.append(ended)
         alive.append(ROOT)
-        made = self.moves[state + byte] = (self.number(tuple(alive)) << 8, ended)
+        made = self.moves[state + byte] = self.number(tuple(alive))
+        self.used += 100
         return made
 
     def run(self, data: bytes, block: int = 1 << 12) -> Iterator[list[int]]:
         """The ids of one match of the pattern, given out as soon as a block is settled."""
-        if len(self.states) > self.max_states:
+        if 2 * self.used > self.max_bytes:
             self.forget()
-        state, moves = self.start << 8, self.moves
+        state, moves, states = self.start, self.moves, self.states
         lasts: list[int] = []  # for each byte not settled: the last token if the match ended there
         for at in range(0, len(data), block):
             for byte in data[at : at + block]:
-                step = moves.get(state + byte) or self.move(state, byte)
-                state = step[0]
-                lasts.append(step[1])
+                step = moves.get(state + byte)
+                state = self.move(state, byte) if step is None else step
+                lasts.append(states[state >> 8][-2])
             if at + block < len(data):
-                done = self.settled(self.states[state >> 8], lasts)
+                done = self.settled(states[state >> 8], lasts)
                 yield self.back(lasts, done)
                 del lasts[:done]
-                if len(self.states) > self.max_states:
-                    here = self.states[state >> 8]
+                if 2 * self.used > self.max_bytes:
+                    here = states[state >> 8]
                     self.forget()
-                    state, moves = self.number(here) << 8, self.moves
+                    state, moves, states = self.number(here), self.moves, self.states
         yield self.back(lasts, len(lasts))
 
+    def short(self, data: bytes) -> list[int]:
+        """The ids of a match of few bytes, read in one go."""
+        if 2 * self.used > self.max_bytes:
+            self.forget()
+        state, known, states, length = self.start, self.moves.get, self.states, self.length
+        passed = []
+        for byte in data:
+            step = known(state + byte)
+            state = self.move(state, byte) if step is None else step
+            passed.append(state)
+        ids, at = [], len(passed)
+        while at > 0:
+            ids.append(states[passed[at - 1] >> 8][-2])
+            at -= length[ids[-1]]
+        ids.reverse()
+        return ids
+
     def back(self, lasts: list[int], at: int) -> list[int]:
         """The tokens of the first ``at`` bytes, found from their end."""
         ids, length = [], self.length
@@ -233,28 +260,48 @@ class Transducer:
         for some in self.matches(text):
             yield b"".join(map(self.words.__getitem__, some))
 
+    def pieces(self, packed: bytes, block: int = 1 << 14) -> Iterator[bytes]:
+        """Bytes of packed ids, some ids at a time."""
+        token = self.tokens.__getitem__
+        ids = np.frombuffer(packed, dtype="<u4")
+        for at in range(0, len(ids), block):
+            yield b"".join(map(token, ids[at : at + block].tolist()))
+
     def decode(self, packed: Iterable[bytes], block: int = 1 << 14) -> Iterator[str]:
         """Text of packed ids, block by block; no block ends inside a character."""
-        stream, tokens = Utf8Stream(), self.tokens
+        stream = Utf8Stream()
         for part in packed:
-            ids = np.frombuffer(part, dtype="<u4")
-            for at in range(0, len(ids), block):
-                yield stream.feed(b"".join([tokens[i] for i in ids[at : at + block].tolist()]))
+            for piece in self.pieces(part, block):
+                yield stream.feed(piece)
         yield stream.end()
 
 
 class Words(dict):
-    """Packed ids of the matches met, at most ``machine.max_words`` of them."""
+    """Packed ids of the matches met lately; ``before`` holds those met before
+    them. Each of the two takes a quarter of the machine's bytes at most."""
 
     def __init__(self, machine: Transducer) -> None:
         self.machine = machine
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.before: dict[str, bytes] = {}
+        self.used = 0
 
     def __missing__(self, match: str) -> bytes:
-        packed = b"".join([array("I", ids).tobytes() for ids in self.machine.run(match.encode())])
-        if len(match) <= self.machine.max_word:
-            if len(self) >= self.machine.max_words:
-                self.clear()
-            self[match] = packed
+        packed = self.before.get(match)
+        if packed is None:
+            machine = self.machine
+            if len(match) > machine.max_word:
+                return b"".join([array("I", ids).tobytes() for ids in machine.run(match.encode())])
+            packed = array("I", machine.short(match.encode())).tobytes()
+        if 4 * self.used > self.machine.max_bytes:
+            self.before = dict(self)
+            self.clear()
+            self.used = 0
+        self[match] = packed
+        self.used += 180 + len(match) + len(packed)
         return packed
 
 
@@ -305,7 +352,7 @@ _of_worker: dict[tuple, Transducer] = {}
 def shared(spark: SparkSession, ranks_path: str, pattern: str):
     """A function that gives the transducer in a task. The compiled tables
     (about 50,000 tokens, a few MB: their size is the vocabulary's) are
-    broadcast; a Python worker keeps its machine from task to task."""
+    broadcast; a Python worker keeps the tables, not what it met, from task to task."""
     tokens = read_ranks(ranks_path)
     sent = spark.sparkContext.broadcast((tokens, *last_merges(tokens)))
     key = (ranks_path, pattern)
@@ -328,16 +375,18 @@ def encode_texts(df: DataFrame, ranks_path: str, pattern: str, keys: list[str],
         machine = here()
         out: dict[str, list] = {"n_tokens": [], "ids": [], "decoded_sha256": []}
         for t in texts:
-            packed = b"".join(machine.encode(t))
-            decoded = hashlib.sha256()
-            for piece in machine.decode([packed]):
-                decoded.update(piece.encode())
+            packed, decoded, stream = bytearray(), hashlib.sha256(), Utf8Stream()
+            for block in machine.encode(t):
+                packed += block
+                for piece in machine.pieces(block):
+                    decoded.update(stream.feed(piece).encode())
+            decoded.update(stream.end().encode())
             out["n_tokens"].append(len(packed) // 4)
-            out["ids"].append(packed)
+            out["ids"].append(bytes(packed))
             out["decoded_sha256"].append(decoded.hexdigest())
         return out
 
-    return map_texts(df, keys, text, rows, "n_tokens long, ids binary, decoded_sha256 string")
+    return map_texts(df, keys, text, rows, "n_tokens long, ids binary, decoded_sha256 string", lambda: here().empty())
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, keys: list[str], text: str = "text") -> DataFrame:
@@ -349,15 +398,16 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, keys: list[str], te
         machine = here()
         out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
         for t in texts:
-            packed = list(machine.encode(t))
-            ids, decoded = hashlib.sha256(), hashlib.sha256()
-            for part in packed:
-                ids.update(part)
-            for piece in machine.decode(packed):
-                decoded.update(piece.encode())
-            out["n_tokens"].append(sum(map(len, packed)) // 4)
+            ids, decoded, stream, n = hashlib.sha256(), hashlib.sha256(), Utf8Stream(), 0
+            for block in machine.encode(t):
+                n += len(block) // 4
+                ids.update(block)
+                for piece in machine.pieces(block):
+                    decoded.update(stream.feed(piece).encode())
+            decoded.update(stream.end().encode())
+            out["n_tokens"].append(n)
             out["ids_sha256"].append(ids.hexdigest())
             out["decoded_sha256"].append(decoded.hexdigest())
         return out
 
-    return map_texts(df, keys, text, rows, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_texts(df, keys, text, rows, "n_tokens long, ids_sha256 string, decoded_sha256 string", lambda: here().empty())

@@ -24,13 +24,14 @@ def word_count(text: Column) -> Column:
 
 
 def map_texts(
-    df: DataFrame, keys: list[str], text: str, rows: Callable[[list[str]], dict[str, list]], schema: str
+    df: DataFrame, keys: list[str], text: str, rows: Callable[[list[str]], dict[str, list]], schema: str,
+    end: Callable[[], None] = lambda: None,
 ) -> DataFrame:
     """``keys`` kept as they are, with what ``rows`` makes of each whole text.
 
     ``rows`` gets some texts of an Arrow batch, about ``SLICE`` bytes of them
-    (a longer text comes alone), and returns one list per new column. No
-    shuffle: the work stays where the scan is.
+    (a longer text comes alone), and returns one list per new column; ``end`` is
+    called after a task's last text. No shuffle: the work stays where the scan is.
     """
     narrow = df.select(*keys, whole_text(text).alias("_text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
@@ -43,5 +44,7 @@ def map_texts(
                 some = batch.slice(lo, hi - lo)
                 made = rows(some.column(len(keys)).to_pylist())
                 yield pa.RecordBatch.from_pydict({k: some.column(i) for i, k in enumerate(keys)} | made)
+        end()
+        pa.default_memory_pool().release_unused()
 
     return narrow.mapInArrow(run, f"{kept}, {schema}" if kept else schema)

@@ -17,7 +17,7 @@ def tokens():
 
 @pytest.fixture(scope="module")
 def machine(tokens):
-    return bpe_fst.Transducer(tokens, *bpe_fst.last_merges(tokens), queries.PATTERN, max_states=500, max_words=50)
+    return bpe_fst.Transducer(tokens, *bpe_fst.last_merges(tokens), queries.PATTERN, max_bytes=100_000)
 
 
 @pytest.fixture(scope="module")
