@@ -8,8 +8,10 @@ a pair (an insult and a group) can weigh more or less than its two words.
 Fitting uses at most about ``max_rows`` labelled rows, drawn by a hash of the
 id, the documented bound. Their terms are counted as a table; terms whose
 share differs clearly between the labels (``min_rows`` rows, ``min_z``
-standard errors), ``max_terms`` at most, enter the model. All else covers
-every row: each whole text is scored where the scan reads it.
+standard errors), ``max_terms`` at most, enter the model, and so do the terms
+of pairs, among the ``max_paired`` most frequent, whose rows tell the labels
+apart where the sum of both terms' shares does not. All else covers every row:
+each whole text is scored where the scan reads it.
 
 Defined results: a null text is the empty text and scores as the bias alone;
 labels that are null are not used, and of several labels of one id the
@@ -97,9 +99,11 @@ def train(rows: list[list[int]], labels: np.ndarray, place: dict[int, int], fact
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text",
-        max_rows: int = 20_000, min_rows: int = 5, min_z: float = 5.0, max_terms: int = 4096) -> Machine | None:
+        max_rows: int = 20_000, min_rows: int = 5, min_z: float = 5.0, max_terms: int = 4096,
+        max_paired: int = 512) -> Machine | None:
     """A machine from the labelled documents, or None without any. The driver
-    gets kept terms and, of the bounded sample, places of kept terms: no text."""
+    gets candidate terms and, of the bounded sample, which of them a row has:
+    no text. The same labelled rows give the same machine, however they lie in files."""
     known = labels.where(F.col(label).isNotNull()).groupBy(key).agg(F.max(label).cast("double").alias("_label"))
     labelled = known.count()
     if not labelled:
@@ -125,17 +129,48 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
         r.term for r in counted.where(F.col("n") >= min_rows).withColumn("z", z).where(F.col("z") >= min_z)
         .orderBy(F.desc("z"), "term").limit(max_terms).collect()
     ]
-    place = {term: i for i, term in enumerate(sorted(kept))}
+    often = [
+        r.term for r in counted.where((F.col("n") >= min_rows) & (F.col("n") < totals.n))
+        .orderBy(F.desc("n"), "term").limit(max_paired).collect()
+    ]
+    found = sorted({*kept, *often})
+    sample = rows.mapInArrow(_only(set(found)), "_label double, _terms array<long>").toArrow()
+    has = [np.searchsorted(found, r).tolist() for r in sample["_terms"].to_pylist()]
+    order = sorted(range(len(has)), key=lambda i: (has[i], sample["_label"][i].as_py()))
+    has, told = [has[i] for i in order], sample["_label"].to_numpy()[order]
+    paired = telling_pairs(has, told, np.searchsorted(found, sorted(often)), min_z)
+    chosen_terms = sorted({*kept, *(found[i] for i in paired)})
+    place = {term: i for i, term in enumerate(chosen_terms)}
     if not place:
         return Machine(float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))), {}, np.zeros(0), np.zeros((0, 1)))
-    local = rows.select(
-        "_label", F.filter("_terms", lambda t: F.array_contains(F.lit(sorted(kept)).cast("array<long>"), t)).alias("_terms")
-    ) if len(kept) <= 64 else rows.mapInArrow(_only(place), "_label double, _terms array<long>")
-    sample = local.toArrow()
-    return train([[place[t] for t in r] for r in sample["_terms"].to_pylist()], sample["_label"].to_numpy(), place)
-
-
-def _only(place: dict[int, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    at = {i: place[term] for i, term in enumerate(found) if term in place}
+    return train([[at[i] for i in r if i in at] for r in has], told, place)
+
+
+def telling_pairs(rows: list[list[int]], labels: np.ndarray, often: np.ndarray, min_z: float,
+                  min_variance: float = 5.0, block: int = 2048) -> set[int]:
+    """Of the terms ``often``, those in a pair whose rows' share of labels is
+    ``min_z`` standard errors away from what both terms' own shares add up to.
+    Pairs of which one term never comes without the other say nothing new."""
+    column = {int(term): i for i, term in enumerate(often)}
+    n, p = np.zeros((len(often), len(often))), np.zeros((len(often), len(often)))
+    for lo in range(0, len(rows), block):
+        some = rows[lo : lo + block]
+        is_in = np.zeros((len(some), len(often)), np.float32)
+        for i, row in enumerate(some):
+            is_in[i, [column[t] for t in row if t in column]] = 1
+        n += is_in.T @ is_in
+        p += is_in.T @ (is_in * labels[lo : lo + block, None].astype(np.float32))
+    share, single = labels.mean(), np.diag(n)
+    own = np.diag(p) / np.maximum(single, 1)
+    added = np.clip(own[:, None] + own[None, :] - share, 0, 1)
+    variance = n * share * (1 - share)
+    clear = (np.abs(p - n * added) >= min_z * np.sqrt(variance)) & (variance >= min_variance)
+    clear &= n < np.minimum(single[:, None], single[None, :])
+    return {int(often[i]) for i in np.flatnonzero(clear.any(1))}
+
+
+def _only(place: set[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = [[t for t in r if t in place] for r in batch.column(1).to_pylist()]

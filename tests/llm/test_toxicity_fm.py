@@ -27,6 +27,29 @@ def test_a_pair_counts_that_no_linear_sum_of_its_words_needs(spark, make):
     assert both > 0.5 > max(one, other, none)
 
 
+def test_a_pair_counts_whose_words_say_nothing_alone(spark, make):
+    random = np.random.default_rng(5)
+    plain = [f"plain{i}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(4000):
+        one, other = random.random() < 0.5, random.random() < 0.5
+        words = list(random.choice(plain, 12)) + ["dark"] * one + ["moon"] * other
+        rows.append((i, " ".join(random.permutation(words)), "a"))
+        labels.append((i, int(one == other)))
+    docs, labels = make(rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    machine = X.fit(docs, labels.where(X.remainder() != 0))
+    scored = {r.doc_id: r.score for r in X.score_texts(docs, machine, ["doc_id"]).collect()}
+    held = labels.where(X.remainder() == 0).collect()
+    assert np.mean([(scored[r.doc_id] >= 0.5) == r.toxic for r in held]) > 0.95
+
+
+def test_the_layout_of_the_rows_does_not_matter(spark, make):
+    docs, labels = docs_and_labels(spark, make)
+    one = X.fit(docs.coalesce(1), labels)
+    other = X.fit(docs.orderBy("text").repartition(5), labels.repartition(3))
+    assert one.place == other.place and np.array_equal(one.weights, other.weights) and np.array_equal(one.factors, other.factors)
+
+
 def test_logit_is_the_sum_over_pairs():
     random = np.random.default_rng(0)
     machine = X.Machine(0.3, {}, random.normal(size=6), random.normal(size=(6, 4)))
