@@ -16,7 +16,8 @@ PREDICTION = ("model", "category", "fold", "idx", "sale_date", "actual", "predic
 
 def walk_forward_folds(series: DataFrame, n_folds: int = 3, test_days: int = 30, min_train: int = 120) -> DataFrame:
     """(category, fold, train_end, test_start, test_end), the last ``n_folds``
-    test windows of each series; folds with too little history are left out."""
+    test windows of each series; folds with too little history are left out,
+    ``fold_report`` names them."""
     test_end = F.col("n") - (n_folds - F.col("fold")) * test_days
     return (
         series.groupBy("category")
@@ -33,21 +34,48 @@ def walk_forward_folds(series: DataFrame, n_folds: int = 3, test_days: int = 30,
     )
 
 
+def fold_report(series: DataFrame, n_folds: int = 3, test_days: int = 30, min_train: int = 120) -> DataFrame:
+    """(category, fold, days, needed, kept): each fold that ``walk_forward_folds``
+    could make, the history it needs, and whether the series has as much."""
+    needed = min_train + test_days * (n_folds - F.col("fold") + 1)
+    return (
+        series.groupBy("category")
+        .agg(F.count("*").alias("days"))
+        .withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(n_folds))))
+        .select("category", "fold", "days", needed.cast("long").alias("needed"), (F.col("days") >= needed).alias("kept"))
+    )
+
+
+def part_sizes(n: Column, es: float, holdout: float) -> tuple[Column, Column]:
+    """Rows of the early-stop and the holdout part of ``n`` rows."""
+    def size(share: float) -> Column:
+        return F.greatest(F.lit(1), F.floor(n * F.lit(float(share)))) if share else F.lit(0)
+
+    return size(es), size(holdout)
+
+
+def split_report(rows: DataFrame, es: float = 0.10, holdout: float = 0.0, min_left: int = 5) -> DataFrame:
+    """(category, n, train, kept): the training rows that ``chronological_split``
+    finds in each category, and whether they are enough for it to stay."""
+    es_rows, held = part_sizes(F.col("n"), es, holdout)
+    train = (F.col("n") - es_rows - held).cast("long")
+    return rows.groupBy("category").agg(F.count("*").alias("n")).select(
+        "category", "n", train.alias("train"), (train >= min_left).alias("kept")
+    )
+
+
 def chronological_split(
     rows: DataFrame, es: float = 0.10, holdout: float = 0.0, min_left: int = 5, order: str = "row_idx"
 ) -> DataFrame:
     """Add ``split``: train, then early-stop, then (if asked) holdout, by time
     within each category. A category with fewer than ``min_left`` training rows
-    is left out."""
+    is left out; ``split_report`` names it."""
     series = W.partitionBy("category")
     counted = rows.withColumns(
         {"_n": F.count("*").over(series), "_at": F.row_number().over(series.orderBy(order))}
     )
-
-    def size(share: float):
-        return F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(float(share)))) if share else F.lit(0)
-
-    sized = counted.withColumns({"_es": size(es), "_ho": size(holdout)})
+    es_rows, held = part_sizes(F.col("_n"), es, holdout)
+    sized = counted.withColumns({"_es": es_rows, "_ho": held})
     train = F.col("_n") - F.col("_es") - F.col("_ho")
     return (
         sized.filter(train >= min_left)

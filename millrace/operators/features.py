@@ -116,6 +116,14 @@ def holiday_calendar(
     )
 
 
+def calendar_demand(daily: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The calendar with what was sold on each of its days: (categories, units_sold), zero where nothing was."""
+    sold = daily.groupBy("sale_date").agg(
+        F.countDistinct("category").alias("categories"), F.sum("units_sold").cast("long").alias("units_sold")
+    )
+    return calendar.join(sold, "sale_date", "left").fillna(0, ["categories", "units_sold"])
+
+
 # -- features -----------------------------------------------------------------
 
 

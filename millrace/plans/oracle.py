@@ -652,7 +652,14 @@ def series() -> dict[str, str]:
             FROM r_dense GROUP BY 1""",
         "r_dense",
     )
-    q["holiday_calendar"] = rounded("r_calendar", "sale_date, is_holiday, days_to_holiday")
+    q["holiday_calendar"] = with_roles(
+        """SELECT sale_date, is_holiday, days_to_holiday, COALESCE(categories, 0) AS categories,
+                  CAST(COALESCE(units, 0) AS BIGINT) AS units_sold
+           FROM r_calendar LEFT JOIN (
+               SELECT sale_date, COUNT(DISTINCT category) AS categories, SUM(units_sold) AS units FROM r_daily GROUP BY 1
+           ) USING (sale_date)""",
+        "r_calendar", "r_daily",
+    )
     q["demand_features"] = rounded("r_features", f"sale_date, category, {FEATURE_LIST}")
     ends = ", ".join(
         ["~MIN(LN(1 + units_sold)) AS units_sold_min, ~MAX(LN(1 + units_sold)) AS units_sold_max"]
@@ -709,6 +716,12 @@ def series() -> dict[str, str]:
     q["category_index"] = with_roles(
         "SELECT category, CAST(ROW_NUMBER() OVER (ORDER BY category) - 1 AS INT) AS id FROM (SELECT DISTINCT category FROM r_daily)", "r_daily"
     )
+    q["split_report"] = with_roles(
+        """SELECT category, n, CAST(n - GREATEST(1, FLOOR(n * 0.1e0)) - GREATEST(1, FLOOR(n * 0.07e0)) AS BIGINT) AS train,
+                  n - GREATEST(1, FLOOR(n * 0.1e0)) - GREATEST(1, FLOOR(n * 0.07e0)) >= 5 AS kept
+           FROM (SELECT category, COUNT(*) AS n FROM r_targets GROUP BY 1)""",
+        "r_targets",
+    )
     q["chronological_split"] = with_roles(
         """SELECT category, split, COUNT(*) AS n, MIN(sale_date) AS first_day, MAX(sale_date) AS last_day FROM (
             SELECT category, sale_date, CASE WHEN place <= n - es - ho THEN 'train' WHEN place <= n - ho THEN 'es' ELSE 'holdout' END AS split
@@ -724,6 +737,12 @@ def evaluation() -> dict[str, str]:
     q: dict[str, str] = {}
     prediction = "model, category, fold, idx, sale_date, ~actual, ~predicted, ~lower, ~upper"
     q["walk_forward_folds"] = rounded("r_folds", "category, fold, train_end, test_start, test_end")
+    q["fold_report"] = with_roles(
+        """SELECT category, CAST(fold AS INT) AS fold, n AS days, CAST(120 + 30 * (4 - fold) AS BIGINT) AS needed,
+                  n >= 120 + 30 * (4 - fold) AS kept
+           FROM (SELECT category, COUNT(*) AS n FROM r_series GROUP BY 1) CROSS JOIN (VALUES (1), (2), (3)) AS f(fold)""",
+        "r_series",
+    )
     q["baseline_last_value"] = rounded("r_last", prediction)
     q["baseline_average"] = rounded("r_average", prediction)
     q["baseline_seasonal_naive"] = rounded("r_seasonal", prediction)

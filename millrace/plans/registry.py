@@ -212,7 +212,7 @@ def _sequences(d: DemandSeries) -> DataFrame:
 SERIES: dict[str, Callable[[DemandSeries], DataFrame]] = {
     "dense_demand": lambda d: d.dense,
     "category_stats": lambda d: d.stats,
-    "holiday_calendar": lambda d: d.calendar,
+    "holiday_calendar": lambda d: features.calendar_demand(d.daily, d.calendar),
     "demand_features": lambda d: d.features,
     "scaler_fit": lambda d: features.scaler_fit(d.features),
     "scaler_apply": _scaled,
@@ -226,6 +226,7 @@ SERIES: dict[str, Callable[[DemandSeries], DataFrame]] = {
     # of features to six places: sums of them are multiples of a millionth, which no order of adding moves
     "sequence_sums": lambda d: features.sequence_sums(features.sequence_dataset(rounded(d.features))),
     "category_index": lambda d: features.category_index(d.daily),
+    "split_report": lambda d: backtest.split_report(features.horizon_targets(d.features), holdout=0.07),
     "chronological_split": lambda d: backtest.chronological_split(
         features.horizon_targets(d.features), holdout=0.07
     ).groupBy("category", "split").agg(
@@ -355,6 +356,7 @@ def _pads(b: Backtest) -> DataFrame:
 
 EVALUATION: dict[str, Callable[[Backtest], DataFrame]] = {
     "walk_forward_folds": lambda b: b.folds,
+    "fold_report": lambda b: backtest.fold_report(b.series),
     "baseline_last_value": lambda b: backtest.baseline_last_value(b.series, b.folds),
     "baseline_average": lambda b: backtest.baseline_average(b.series, b.folds),
     "baseline_seasonal_naive": lambda b: backtest.baseline_seasonal_naive(b.series, b.folds),

@@ -115,6 +115,14 @@ def test_holidays_absent(spark):
     assert (row["is_holiday"], row["days_to_holiday"]) == (0, 30)
 
 
+def test_calendar_has_what_was_sold(spark):
+    d = dt.date(2018, 1, 2)
+    daily = spark.createDataFrame([("a", d, 2), ("b", d, 3)], "category string, sale_date date, units_sold int")
+    calendar = features.holiday_calendar(spark, "2018-01-01", "2018-01-03", None)
+    got = features.calendar_demand(daily, calendar).orderBy("sale_date").collect()
+    assert [(r["categories"], r["units_sold"]) for r in got] == [(0, 0), (2, 5), (0, 0)]
+
+
 def test_scaler_round_trip_and_constant_column(spark):
     df = spark.createDataFrame([(1.0, 3.0), (7.0, 3.0), (0.0, 3.0)], "units_sold double, lag_1 double")
     scaler = features.scaler_fit(df, ["lag_1"])

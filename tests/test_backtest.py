@@ -153,3 +153,12 @@ def test_split_keeps_order_and_drops_short(spark):
     parts = {s: [r["row_idx"] for r in got if r["split"] == s] for s in ("train", "es", "holdout")}
     assert {r["category"] for r in got} == {"a"}
     assert (sorted(parts["train"]), sorted(parts["es"]), sorted(parts["holdout"])) == (list(range(25)), [25, 26, 27], [28, 29])
+
+
+def test_reports_name_what_is_left_out(series):
+    kept = {(r["category"], r["fold"]) for r in backtest.walk_forward_folds(series).collect()}
+    report = backtest.fold_report(series).collect()
+    assert len(report) == 9 and {(r["category"], r["fold"]) for r in report if r["kept"]} == kept
+    split = {r["category"] for r in backtest.chronological_split(series, holdout=0.2, min_left=100, order="idx").collect()}
+    report = backtest.split_report(series, holdout=0.2, min_left=100).collect()
+    assert {r["category"] for r in report if r["kept"]} == split and len(report) == 3 > len(split)
