@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe_fst, exact_dedup, queries, simhash_anchor, source_mix, toxicity_fm
+from millrace.llm import bpe_fst, exact_dedup, queries, simhash_anchor, source_mix, texts, toxicity_fm
 from millrace.session import shared_folder
 
 TOXIC = 0.5  # documents that score as much go
@@ -22,6 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below ``TOXIC``; the machine learns from all labelled ones."""
     labels = queries.table(spark, sf_dir, "labels").select("doc_id", "toxic")
     machine = toxicity_fm.fit(docs, labels)
+    texts.bound_batches(spark)
     return docs.where(toxicity_fm.score_column(machine) < TOXIC)
 
 

@@ -72,24 +72,37 @@ class Transducer:
         self.rank = {t: i for i, t in enumerate(tokens) if t}
         self.max_bytes, self.max_word = max_bytes, max_word
         self.length = [len(t) for t in tokens]
-        self.child: dict[int, int] = {}  # by 256 * node + byte
-        self.ends, self.depth, self.inner = array("i", [-1]), array("i", [0]), bytearray(1)
-        for token, own in self.rank.items():
-            node = ROOT
-            for byte in token:
-                key = node << 8 | byte
-                if key not in self.child:
-                    self.inner[node] = 1
-                    self.child[key] = len(self.ends)
-                    self.ends.append(-1)
-                    self.depth.append(self.depth[node] + 1)
-                    self.inner.append(0)
-                node = self.child[key]
-            self.ends[node] = own
+        self.plant()
         self.words = Words(self)
         self.plain_split, self.not_plain = plain_twin(pattern)
         self.forget()
 
+    def plant(self) -> None:
+        """The trie, level by level: a node's children are neighbours, ``first``
+        says from where, and ``labels`` holds the byte that leads to each node."""
+        ordered = sorted(self.rank)
+        labels, self.first, self.ends, self.depth = bytearray(1), array("i"), array("i", [-1]), array("i", [0])
+        low, high = array("i", [0]), array("i", [len(ordered)])  # the tokens at and below a node
+        node = ROOT
+        while node < len(low):
+            at, end, depth = low[node], high[node], self.depth[node]
+            self.first.append(len(low))
+            if at < end and len(ordered[at]) == depth:
+                self.ends[node] = self.rank[ordered[at]]
+                at += 1
+            while at < end:
+                byte = ordered[at][depth]
+                labels.append(byte)
+                self.ends.append(-1)
+                self.depth.append(depth + 1)
+                low.append(at)
+                while at < end and ordered[at][depth] == byte:
+                    at += 1
+                high.append(at)
+            node += 1
+        self.first.append(len(low))
+        self.labels = bytes(labels)
+
     # --- which tokens may follow each other ---------------------------------
 
     def spine(self, token: int) -> tuple[list, list]:
@@ -106,7 +119,7 @@ class Transducer:
                     piece, absorbed = side[piece], piece
                 both.append(pieces[::-1])
             self.spines[token] = (both[0], both[1])
-            self.used += 250 + 70 * (len(both[0]) + len(both[1]))
+            self.used += 250 + 100 * (len(both[0]) + len(both[1]))
         return self.spines[token]
 
     def may_follow(self, first: int, second: int) -> bool:
@@ -140,22 +153,24 @@ class Transducer:
     def forget(self) -> None:
         self.spines: dict[int, tuple[list, list]] = {}
         self.pairs: dict[int, bool] = {}  # by 2**32 * first + second
-        self.numbers: dict[tuple, int] = {}
-        self.states: list[tuple] = []
+        self.numbers: dict[bytes, int] = {}
+        self.states: list[bytes] = []  # packed pairs of token and node
+        self.last = array("i")  # by state: the last token if the input ended there
         self.moves: dict[int, int] = {}  # by state + byte; states count in steps of 256
         self.used = 0  # bytes, about
-        self.start = self.number((-1, ROOT))
+        self.start = self.number(array("i", [-1, ROOT]).tobytes())
 
     def empty(self) -> None:
         """Nothing is remembered but the compiled tables."""
         self.forget()
         self.words.forget()
 
-    def number(self, state: tuple) -> int:
+    def number(self, state: bytes) -> int:
         known = self.numbers.setdefault(state, len(self.states) << 8)
         if known == len(self.states) << 8:
             self.states.append(state)
-            self.used += 180 + 8 * len(state)
+            self.last.append(array("i", state)[-2])
+            self.used += 180 + len(state)
         return known
 
     def move(self, state: int, byte: int) -> int:
@@ -163,12 +178,12 @@ class Transducer:
 
         A state lists, for each place where a token may have begun, the token
         before that place and the trie node reached since."""
-        child, ends, inner, pairs = self.child, self.ends, self.inner, self.pairs
-        alive, ended = [], -1
-        here = iter(self.states[state >> 8])
+        find, first, ends, pairs = self.labels.find, self.first, self.ends, self.pairs
+        alive, ended = array("i"), -1
+        here = iter(array("i", self.states[state >> 8]))
         for last, node in zip(here, here):
-            into = child.get(node << 8 | byte)
-            if into is None:
+            into = find(byte, first[node], first[node + 1])
+            if into < 0:
                 continue
             if ended < 0:
                 token = ends[into]
@@ -176,12 +191,12 @@ class Transducer:
                     fits = last < 0 or pairs.get(last << 32 | token)
                     if fits or fits is None and self.may_follow(last, token):
                         ended = token
-            if inner[into]:
+            if first[into] < first[into + 1]:
                 alive.append(last)
                 alive.append(into)
         alive.append(ended)
         alive.append(ROOT)
-        made = self.moves[state + byte] = self.number(tuple(alive))
+        made = self.moves[state + byte] = self.number(alive.tobytes())
         self.used += 100
         return made
 
@@ -189,13 +204,13 @@ class Transducer:
         """The ids of one match of the pattern, given out as soon as a block is settled."""
         if 2 * self.used > self.max_bytes:
             self.forget()
-        state, moves, states = self.start, self.moves, self.states
+        state, moves, states, last = self.start, self.moves, self.states, self.last
         lasts: list[int] = []  # for each byte not settled: the last token if the match ended there
         for at in range(0, len(data), block):
             for byte in data[at : at + block]:
                 step = moves.get(state + byte)
                 state = self.move(state, byte) if step is None else step
-                lasts.append(states[state >> 8][-2])
+                lasts.append(last[state >> 8])
             if at + block < len(data):
                 done = self.settled(states[state >> 8], lasts)
                 yield self.back(lasts, done)
@@ -203,14 +218,14 @@ class Transducer:
                 if 2 * self.used > self.max_bytes:
                     here = states[state >> 8]
                     self.forget()
-                    state, moves, states = self.number(here), self.moves, self.states
+                    state, moves, states, last = self.number(here), self.moves, self.states, self.last
         yield self.back(lasts, len(lasts))
 
     def short(self, data: bytes) -> list[int]:
         """The ids of a match of few bytes, read in one go."""
         if 2 * self.used > self.max_bytes:
             self.forget()
-        state, known, states, length = self.start, self.moves.get, self.states, self.length
+        state, known, last, length = self.start, self.moves.get, self.last, self.length
         passed = []
         for byte in data:
             step = known(state + byte)
@@ -218,7 +233,7 @@ class Transducer:
             passed.append(state)
         ids, at = [], len(passed)
         while at > 0:
-            ids.append(states[passed[at - 1] >> 8][-2])
+            ids.append(last[passed[at - 1] >> 8])
             at -= length[ids[-1]]
         ids.reverse()
         return ids
@@ -231,10 +246,10 @@ class Transducer:
             at -= length[ids[-1]]
         return ids[::-1]
 
-    def settled(self, state: tuple, lasts: list[int]) -> int:
+    def settled(self, state: bytes, lasts: list[int]) -> int:
         """The last border that lies on the paths of all places where a token may have begun."""
         common: set[int] | None = None
-        for node in state[1::2]:
+        for node in array("i", state)[1::2]:
             at = len(lasts) - self.depth[node]
             borders = {at}
             while at > 0:
@@ -354,7 +369,7 @@ def shared(spark: SparkSession, ranks_path: str, pattern: str):
     (about 50,000 tokens, a few MB: their size is the vocabulary's) are
     broadcast; a Python worker keeps the tables, not what it met, from task to task."""
     tokens = read_ranks(ranks_path)
-    sent = spark.sparkContext.broadcast((tokens, *last_merges(tokens)))
+    sent = spark.sparkContext.broadcast((tokens, *(array("i", side) for side in last_merges(tokens))))
     key = (ranks_path, pattern)
 
     def here() -> Transducer:

@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from millrace.llm.texts import whole_text, word_count
+from millrace.llm.texts import local_rows, whole_text, word_count
 from millrace.session import materialize
 
 WEIGHTS = (1, 2, 3)
@@ -112,8 +112,8 @@ def make_plan(sized: DataFrame, weights: tuple, repeats: int, block_words: int)
         passes = min(repeats, int(target // r.n)) if r.n else 0
         rows.append((number, r.source, r.n, target, blocks, passes, max(0.0, target - passes * r.n)))
     kind = sized.schema["source"].dataType.simpleString()
-    base = spark.createDataFrame(
-        rows, f"number int, source {kind}, source_size long, target double, blocks long, passes int, missing double"
+    base = local_rows(
+        spark, rows, f"number int, source {kind}, source_size long, target double, blocks long, passes int, missing double"
     )
     of_source = lambda df: df.join(hint(base, len(rows)), df["source"].eqNullSafe(base["source"])).drop(base["source"])
     placed = of_source(sized).withColumn("block", block_of(F.col("place"), F.col("blocks")))
@@ -154,8 +154,8 @@ def make_plan(sized: DataFrame, weights: tuple, repeats: int, block_words: int)
             t.places if t and missing > 0 else [],
             passes * count + min(edge_block + 1, count),
         ))
-    return spark.createDataFrame(
-        plan, f"number int, source {kind}, source_size long, target double, blocks long, passes int, "
+    return local_rows(
+        spark, plan, f"number int, source {kind}, source_size long, target double, blocks long, passes int, "
         "edge long, last_place long, places array<long>, quota long"
     ), len(plan)
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -86,3 +87,18 @@ def test_awkward_rows(awkward, library):
 
 def test_empty_table(make):
     assert bpe_fst.encode_texts(make([]), queries.RANKS, queries.PATTERN, ["doc_id"]).collect() == []
+
+
+def test_the_tables_are_flat(tokens):
+    left, right = bpe_fst.last_merges(tokens)
+    tracemalloc.start()
+    machine = bpe_fst.Transducer(tokens, left, right, queries.PATTERN)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 12 << 20
+    for token in [t for t in tokens if t][::97]:
+        node = bpe_fst.ROOT
+        for byte in token:
+            node = machine.labels.find(byte, machine.first[node], machine.first[node + 1])
+            assert node > 0
+        assert tokens[machine.ends[node]] == token and machine.depth[node] == len(token)
