@@ -1,16 +1,24 @@
-"""Byte-level BPE as a lazily determinised finite-state transducer.
+"""Byte-level BPE as a finite-state transducer over the token trie.
 
 The rank file is compiled once on the driver: a byte trie of all tokens, and
 for each token the two parts of its last merge. A sequence of tokens is what
 BPE yields exactly if BPE leaves each neighbouring pair as it is, so a
 transducer whose state is (last token, trie node) accepts one path per input.
-That machine is determinised while it runs: a state lists all places where a
-token may have begun, and each byte read gives the one token that would be the
-last if the input ended there. Such a place dies when no token continues it,
-so a border is settled after less bytes than the longest token has, and the
-tokens before the last settled border are emitted. States are made on first
-use. What a machine remembers is counted in bytes: half of ``max_bytes`` for
-states, moves and pairs, forgotten together; half for the ids of words met, of
+
+Short matches, which are at hand whole, are searched for that path depth first:
+the longest token that may follow the last one, a shorter one if that leads
+nowhere. Only one path leads to a place, so a place that failed fails for good.
+
+Very long matches are read as a stream by the same machine, determinised while
+it runs: a state lists all places where a token may have begun, and each byte
+read gives the one token that would be the last if the input ended there. Such
+a place dies when no token continues it, so a border is settled after less
+bytes than the longest token has, and the tokens before the last settled border
+are emitted. States are made on first use; words do not use them, since most
+that are not remembered are rare and would make states that nothing else needs.
+
+What a machine remembers is counted in bytes: half of ``max_bytes`` for states,
+moves, pairs and heads, forgotten together; half for the ids of words met, of
 which those not met again for a while go. All of it goes when a task ends.
 
 Defined results: null counts as the empty text (no ids); an empty table gives
@@ -35,6 +43,7 @@ from millrace.llm.texts import map_texts
 
 ROOT = 0
 NEVER = 1 << 30
+HEAD = 3  # bytes by which the search remembers where the trie leads
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -79,22 +88,26 @@ class Transducer:
 
     def plant(self) -> None:
         """The trie, level by level: a node's children are neighbours, ``first``
-        says from where, and ``labels`` holds the byte that leads to each node."""
+        says from where, and ``labels`` holds the byte that leads to each node.
+        ``shorter`` gives for each token the longest other one it begins with."""
         ordered = sorted(self.rank)
         labels, self.first, self.ends, self.depth = bytearray(1), array("i"), array("i", [-1]), array("i", [0])
         low, high = array("i", [0]), array("i", [len(ordered)])  # the tokens at and below a node
+        above, self.shorter = array("i", [-1]), array("i", [-1]) * len(self.tokens)
         node = ROOT
         while node < len(low):
-            at, end, depth = low[node], high[node], self.depth[node]
+            at, end, depth, longest = low[node], high[node], self.depth[node], above[node]
             self.first.append(len(low))
             if at < end and len(ordered[at]) == depth:
-                self.ends[node] = self.rank[ordered[at]]
+                token = self.ends[node] = self.rank[ordered[at]]
+                self.shorter[token], longest = longest, token
                 at += 1
             while at < end:
                 byte = ordered[at][depth]
                 labels.append(byte)
                 self.ends.append(-1)
                 self.depth.append(depth + 1)
+                above.append(longest)
                 low.append(at)
                 while at < end and ordered[at][depth] == byte:
                     at += 1
@@ -148,11 +161,65 @@ class Transducer:
             self.used += 80
         return known
 
+    # --- the search for short matches ---------------------------------------
+
+    def head(self, ahead: bytes) -> tuple[int, int]:
+        """Where up to ``HEAD`` bytes lead in the trie (-1: no token is longer),
+        and the longest token they begin with."""
+        first, node, token = self.first, ROOT, -1
+        for byte in ahead:
+            node = self.labels.find(byte, first[node], first[node + 1])
+            if node < 0:
+                break
+            if self.ends[node] >= 0:
+                token = self.ends[node]
+        if node >= 0 and first[node] == first[node + 1]:
+            node = -1
+        self.heads[ahead] = node, token
+        self.used += 250
+        return node, token
+
+    def short(self, data: bytes) -> list[int]:
+        """The ids of a match of few bytes, depth first."""
+        if 2 * self.used > self.max_bytes:
+            self.forget()
+        find, first, ends, length, shorter = self.labels.find, self.first, self.ends, self.length, self.shorter
+        heads, pairs = self.heads.get, self.pairs.get
+        ids: list[int] = []
+        dead: set[int] = set()  # places that no path leaves
+        at, size = 0, len(data)
+        while at < size:
+            ahead = data[at : at + HEAD]
+            node, token = heads(ahead) or self.head(ahead)
+            if node >= 0:
+                for byte in data[at + HEAD :]:
+                    node = find(byte, first[node], first[node + 1])
+                    if node < 0:
+                        break
+                    if ends[node] >= 0:
+                        token = ends[node]
+            while True:
+                if token < 0:  # the last token was too long
+                    dead.add(at)
+                    token = ids.pop()
+                    at -= length[token]
+                elif at + length[token] not in dead:
+                    if not ids:
+                        break
+                    fits = pairs(ids[-1] << 32 | token)
+                    if fits or fits is None and self.may_follow(ids[-1], token):
+                        break
+                token = shorter[token]
+            ids.append(token)
+            at += length[token]
+        return ids
+
     # --- the determinised machine -------------------------------------------
 
     def forget(self) -> None:
         self.spines: dict[int, tuple[list, list]] = {}
         self.pairs: dict[int, bool] = {}  # by 2**32 * first + second
+        self.heads: dict[bytes, tuple[int, int]] = {}
         self.numbers: dict[bytes, int] = {}
         self.states: list[bytes] = []  # packed pairs of token and node
         self.last = array("i")  # by state: the last token if the input ended there
@@ -221,23 +288,6 @@ class Transducer:
                     state, moves, states, last = self.number(here), self.moves, self.states, self.last
         yield self.back(lasts, len(lasts))
 
-    def short(self, data: bytes) -> list[int]:
-        """The ids of a match of few bytes, read in one go."""
-        if 2 * self.used > self.max_bytes:
-            self.forget()
-        state, known, last, length = self.start, self.moves.get, self.last, self.length
-        passed = []
-        for byte in data:
-            step = known(state + byte)
-            state = self.move(state, byte) if step is None else step
-            passed.append(state)
-        ids, at = [], len(passed)
-        while at > 0:
-            ids.append(last[passed[at - 1] >> 8])
-            at -= length[ids[-1]]
-        ids.reverse()
-        return ids
-
     def back(self, lasts: list[int], at: int) -> list[int]:
         """The tokens of the first ``at`` bytes, found from their end."""
         ids, length = [], self.length

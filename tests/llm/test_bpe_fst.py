@@ -102,3 +102,20 @@ def test_the_tables_are_flat(tokens):
             node = machine.labels.find(byte, machine.first[node], machine.first[node + 1])
             assert node > 0
         assert tokens[machine.ends[node]] == token and machine.depth[node] == len(token)
+
+
+def test_words_met_once_make_no_states(tokens, library):
+    fresh = bpe_fst.Transducer(tokens, *bpe_fst.last_merges(tokens), queries.PATTERN)
+    pick = random.Random(7)
+    words = ["".join(pick.choices(["th", "er", "sch", "ó", "ent", "wh", "ou"], k=pick.randint(2, 9))) for _ in range(3000)]
+    text = " ".join(words)
+    assert ids(fresh, text) == library.encode_ordinary(text)
+    assert len(fresh.states) == 1 and not fresh.moves  # a state for a word met once is never used again
+
+
+def test_search_gives_up_places_that_fail(tokens, library):
+    fresh = bpe_fst.Transducer(tokens, *bpe_fst.last_merges(tokens), queries.PATTERN)
+    pick = random.Random(11)
+    for _ in range(3000):  # joined tokens, where the longest first token is often wrong
+        data = b"".join(pick.choice(tokens) for _ in range(pick.randint(1, 7)))[:256]
+        assert fresh.short(data) == library._encode_single_piece(data), data
